@@ -52,3 +52,17 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 def shuffle_width(spark: SparkSession) -> int:
     """The number of shuffle partitions the session is set to."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, for clusters on which it isn't installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_worktally_shipped", False):
+        return
+    import shutil
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent
+    made = shutil.make_archive(f"{tempfile.mkdtemp(prefix='worktally-code-')}/worktally", "zip", root.parent, root.name)
+    sc.addPyFile(made)
+    sc._worktally_shipped = True
