@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES and ORACLES.
-MODULES = ("mapping_queries", "percentile_queries", "name_queries", "token_queries")
+MODULES = ("mapping_queries", "percentile_queries", "name_queries", "token_queries", "language_queries")
 
 
 def _loaded():
