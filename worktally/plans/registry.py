@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from worktally.plans import change_queries
+from worktally.plans import change_queries, works_oracles, works_queries
 
-_MODULES = [change_queries]
+_QUERIES = [change_queries, works_queries]
+_ORACLES = [change_queries, works_oracles]
 
 #: The query of the smoke check.
-FLAGSHIP = "p3_found"
+FLAGSHIP = "competition_rank"
 
 
 def queries() -> dict:
     """Query functions by name."""
-    return {name: f for m in _MODULES for name, f in m.QUERIES.items()}
+    return {name: f for m in _QUERIES for name, f in m.QUERIES.items()}
 
 
 def oracles() -> dict[str, str]:
     """SQL by query name, where SQL can express the query."""
-    return {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
+    return {name: sql for m in _ORACLES for name, sql in m.ORACLES.items()}
