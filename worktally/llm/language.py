@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from worktally.runtime import cut, shuffle_width
+
 #: Codes and names of the languages told apart.
 LABELS = {
     "en": "en eng english",
@@ -59,7 +62,8 @@ REMEMBERED_WORDS = 100_000
 
 _UNSEEN = re.compile("[​-‏⁠﻿­]")
 _WORD = re.compile(r"[^\W_]+(?:[̀-ͯऀ-ःऺ-ॏ॑-ॗॢॣঀ-ঃ়া-্ৗઁ-ઃ઼ા-્ஂா-்ௗ]+[^\W_]*)*")
-_MARKUP = re.compile(r"<[^<>\s]{1,24}>|\[[^\[\]\s]{1,16}\]|\S+@\S+|(?:https?://|www\.)\S+")
+_DIGIT = re.compile(r"\d")
+_MARKUP = re.compile(r"<[^<>\s]{1,24}>|</?[a-zA-Z][^<>]{0,200}>|&(?:[a-zA-Z]{2,8}|#x?[0-9a-fA-F]{1,6});|\[[^\[\]\s]{1,16}\]|\S+@\S+|(?:https?://|www\.)\S+")
 _END = re.compile(r"[.!?।॥|/;:\n\r  \u0085•·]+|-{2,}")
 _SCRIPTS = ((0x0900, 0x097F, "Deva"), (0x0980, 0x09FF, "Beng"), (0x0A80, 0x0AFF, "Gujr"), (0x0B80, 0x0BFF, "Taml"))
 
@@ -84,9 +88,10 @@ def script_of(word: str) -> str:
 
 
 def is_word(token: str) -> bool:
-    """Whether a token is a word: letters, and no more than one digit among at least two letters."""
-    digits = sum(c.isdigit() for c in token)
-    return digits == 0 and (len(token) > 1 or ord(token) > 0x24F) or digits == 1 and len(token) > 3
+    """Whether a token is a word: letters, and no more than one digit among at least three other letters."""
+    if _DIGIT.search(token) is None:
+        return len(token) > 1 or ord(token) > 0x24F
+    return len(token) > 3 and len(_DIGIT.findall(token)) == 1
 
 
 def sentences(text: str) -> list[tuple[int, int, list[str]]]:
@@ -148,23 +153,24 @@ class Model:
         return [lang for lang, _ in self.classes]
 
 
-def _split_units(units: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int, np.ndarray]]:
-    """Units of (start, end, word scores), split where a change within the sentence gains enough."""
+def _split_units(units: list[tuple]) -> list[tuple]:
+    """Units of (start, end, word scores, their sum), split where a change within the sentence gains enough."""
     out = []
     todo = units[::-1]
     while todo:
-        start, end, scores = todo.pop()
+        start, end, scores, total = todo.pop()
         n = len(scores)
-        if n >= 4:
+        # Every word's best class scores 0, so a change can't gain more than the best whole lacks.
+        if n >= 4 and -total.max() > SPLIT_GAIN:
             sums = np.cumsum(scores, axis=0, dtype=np.float64)
             whole = sums[-1].max()
             gain = sums[:-1].max(axis=1) + (sums[-1] - sums[:-1]).max(axis=1) - whole
             k = int(gain.argmax())
             if gain[k] > SPLIT_GAIN:
                 middle = start + (end - start) * (k + 1) // n
-                todo += [(middle, end, scores[k + 1 :]), (start, middle, scores[: k + 1])]
+                todo += [(middle, end, scores[k + 1 :], sums[-1] - sums[k]), (start, middle, scores[: k + 1], sums[k])]
                 continue
-        out.append((start, end, scores))
+        out.append((start, end, scores, total))
     return out
 
 
@@ -175,8 +181,9 @@ def stretches(text: str, model: Model) -> list[tuple[str, float, int, int, int]]
         return []
     scores = model.word_scores([w for _, _, words in parts for w in words])
     ends = np.cumsum([len(words) for _, _, words in parts])
-    units = _split_units([(a, b, scores[e - len(w) : e]) for (a, b, w), e in zip(parts, ends)])
-    sums = np.array([s.sum(axis=0, dtype=np.float64) for _, _, s in units])
+    totals = np.add.reduceat(scores, np.r_[0, ends[:-1]], axis=0, dtype=np.float64)
+    units = _split_units([(a, b, scores[e - len(w) : e], t) for (a, b, w), e, t in zip(parts, ends, totals)])
+    sums = np.array([u[3] for u in units])
     langs = model.languages()
     best = sums[0]
     back = []
@@ -215,6 +222,7 @@ def _count_frames(frames: Iterator[pd.DataFrame], models: list[Model] | None) ->
     counts: dict[tuple, np.ndarray] = {}
     seen: dict[tuple, list[int]] = {}
     for pdf in frames:
+        taken: dict[tuple, Counter] = {}
         for text, lang, half in pdf[["text", "code", "half"]].itertuples(index=False):
             for _, _, words in sentences(text):
                 kind = (int(half), lang, script_of(max(words, key=len)))
@@ -226,8 +234,12 @@ def _count_frames(frames: Iterator[pd.DataFrame], models: list[Model] | None) ->
                     if judge.classes[int(total.argmax())] != kind[1:]:
                         continue
                 tally[1] += 1
-                into = counts.setdefault(kind, np.zeros(1 << HASH_BITS, dtype=np.int64))
-                np.add.at(into, [b for w in words for b in buckets(w)], 1)
+                taken.setdefault(kind, Counter()).update(words)
+        for kind, often in taken.items():
+            grams = [(b, n) for w, n in often.items() for b in buckets(w)]
+            at, n = np.array(grams, dtype=np.int64).T
+            into = counts.setdefault(kind, np.zeros(1 << HASH_BITS, dtype=np.int64))
+            np.add.at(into, at, n)
     for (half, lang, script), tally in seen.items():
         into = counts.get((half, lang, script), np.zeros(0, dtype=np.int64))
         at = np.flatnonzero(into)
@@ -278,6 +290,7 @@ def fit_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         share = min(1.0, sample_docs / count)
         keep = keep | ((F.col("code") == code) & (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)))
     sample = labelled.filter(keep).select("text", "code", F.pmod(F.xxhash64(F.lit("half"), "id"), F.lit(2)).cast("int").alias("half"))
+    sample = cut(sample.repartition(shuffle_width(docs.sparkSession)))
     halves, model = _fit_once(sample, None)
     for _ in range(ROUNDS):
         if halves is None:
