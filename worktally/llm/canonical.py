@@ -171,6 +171,9 @@ def _known_words(entries: DataFrame) -> DataFrame:
 
 def match_words(words: DataFrame, known: DataFrame) -> DataFrame:
     """(kind, word, alternatives): the known words each typed word may mean, as structs (stands_for, near)."""
+    # The length filter, before any pieces are made: a word of n letters has 2n + 1 of them.
+    longest_known = known.agg(F.max(F.length("form"))).first()[0] or 0
+    words = words.filter(F.length("word") <= int((2 * longest_known + 1) / WORD_SIMILARITY / 2))
     left = words.select(F.concat_ws("|", "kind", "word").alias("id"), _tagged(F.col("kind"), F.col("word")).alias("tokens"))
     right = known.select("kind", "form").distinct().select(F.concat_ws("|", "kind", "form").alias("id"), _tagged(F.col("kind"), F.col("form")).alias("tokens"))
     split = lambda c, i: F.split(F.col(c), r"\|")[i]
