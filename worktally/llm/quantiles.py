@@ -9,7 +9,7 @@ of n values is off by at most BITS * floor(n / k) ranks; with fewer than k value
 Quantizing: a value times 10**decimals is exact below 2**36 (687 million with two decimals), above
 that its relative error is below 2**-35. The order is kept.
 
-Defined cases: null values are left out, and a group without values gives no row; a null group is
+Defined cases: null values and NaN are left out, and a group without values gives no row; a null group is
 a group; of rows with one id the earliest counts (ties: the smallest row); rows without an id count
 one by one; values beyond 2**62 in size count as that bound.
 """
@@ -40,14 +40,15 @@ FAN_IN = 64
 
 def code_of(value: Column, decimals: int = 0) -> Column:
     """The code of a numeric column, as bigint in [0, 2**BITS)."""
-    limit = 1 << 62
-    scaled = F.round(value.cast("decimal(38,6)") * F.lit(10**decimals).cast("decimal(10,0)"), 0)
-    whole = F.least(F.greatest(scaled, F.lit(-limit).cast("decimal(20,0)")), F.lit(limit).cast("decimal(20,0)")).cast("bigint")
+    limit = F.lit(str((1 << 62) // 10**decimals)).cast("decimal(30,6)")
+    exact = F.coalesce(value.try_cast("decimal(30,6)"), F.when(value > 0, limit).otherwise(-limit))
+    held = F.least(F.greatest(exact, -limit), limit)
+    whole = F.round(held * F.lit(10**decimals).cast("decimal(10,0)"), 0).cast("bigint")
     size = F.abs(whole)
     over = F.greatest(F.length(F.bin(size)) - EXACT, F.lit(0))
     part = F.when(over == 0, size).otherwise(over.cast("bigint") * F.lit(1 << (EXACT - 1)) + F.call_function("shiftright", size, over.cast("int")))
     # least and greatest pass over nulls, so a null value is put back here.
-    return F.when(value.isNotNull(), F.when(whole < 0, F.lit(MIDDLE) - part).otherwise(F.lit(MIDDLE) + part))
+    return F.when(value.isNotNull() & ~F.isnan(value.cast("double")), F.when(whole < 0, F.lit(MIDDLE) - part).otherwise(F.lit(MIDDLE) + part))
 
 
 def value_of(code: Column, decimals: int = 0) -> Column:
