@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from worktally.functions.jsonline import listed_object
 from worktally.functions.text import collapsed, day, number_text
 from worktally.runtime import broadcast_checked, shuffle_width
 
@@ -73,15 +74,6 @@ PUBLIC_WORKS = SnapshotSpec(
 )
 
 
-def _listed(raw: Column, fields: list[str]) -> Column:
-    """The line read as the only element of an array, so that text after its object is an error; every field as text."""
-    schema = "array<struct<" + ",".join(f"`{f}`:string" for f in fields) + ">>"
-    options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "mode": "PERMISSIVE"}
-    trimmed = F.regexp_replace(raw, r"^[\s\x{FEFF}]+|\s+$", "")
-    whole = trimmed.startswith("{") & trimmed.endswith("}")
-    return F.when(whole, F.from_json(F.concat(F.lit("["), trimmed, F.lit("]")), schema, options))
-
-
 def _identity_part(x: Column) -> Column:
     text = collapsed(x)
     decimal = text.rlike(r"^[+-]?\d+\.0*$") | text.rlike(r"^[+-]?\d+(\.\d+)?[eE]\+?\d{1,2}$")
@@ -96,7 +88,7 @@ def snapshot_lines(records: DataFrame, spec: SnapshotSpec = PUBLIC_WORKS) -> Dat
     """
     # The generator is a barrier: each line is parsed once, whatever reads its fields.
     rows = (
-        records.select("dataset", "snapshot_no", "line_no", F.explode(F.array(_listed(F.col("raw_json"), spec.fields))).alias("listed"))
+        records.select("dataset", "snapshot_no", "line_no", F.explode(F.array(listed_object(F.col("raw_json"), spec.fields))).alias("listed"))
         .filter(F.size("listed") == 1)
         .withColumn("o", F.col("listed")[0])
         .filter("o IS NOT NULL")
