@@ -22,8 +22,8 @@ from worktally.llm.setjoin import similarity_join
 from worktally.runtime import cut
 
 #: Least Jaccard similarity of a typed word and a known word, and of a value and an entry.
-WORD_SIMILARITY, VALUE_SIMILARITY = 0.4, 0.4
-#: Alternatives of a word are kept if they are at most so much less similar than its best one.
+WORD_SIMILARITY, VALUE_SIMILARITY = 0.4, 0.3
+#: Alternatives of a word are kept if they are at most so much less near than its best one, or its singular or plural.
 ALTERNATIVES_WITHIN = 0.2
 #: Least share of an entry's and a value's words, counted by position, that must agree.
 AGREEMENT = 0.5
@@ -187,12 +187,13 @@ def match_words(words: DataFrame, known: DataFrame) -> DataFrame:
     near = 1 - distance / longest
     allowed = F.when(longest <= 4, 1).when(longest == 5, 2).when(longest <= 7, 3).otherwise(F.floor(longest * 0.4))
     plausible = (distance <= allowed) & ((F.length("word") > 2) | (distance == 0))
+    plural = (F.col("form") == F.concat("word", F.lit("s"))) | (F.col("word") == F.concat("form", F.lit("s")))
     best = Window.partitionBy("kind", "word")
     return (
         joined.withColumns({"distance": distance, "near": near + F.col("jaccard") / 1000})
         .filter(plausible)
         .withColumn("top", F.max("near").over(best))
-        .filter(F.col("near") >= F.col("top") - ALTERNATIVES_WITHIN)
+        .filter((F.col("near") >= F.col("top") - ALTERNATIVES_WITHIN) | plural)
         .join(known, ["kind", "form"])
         .groupBy("kind", "word", "stands_for")
         .agg(F.max("near").alias("near"))
