@@ -37,3 +37,14 @@ def verdict(results: DataFrame) -> str:
     """``READY``, or ``NOT READY`` if a check of (check_name, severity, passed) failed with severity CRITICAL or HIGH."""
     failed = results.filter("NOT passed AND severity IN ('CRITICAL', 'HIGH')").limit(1).count()
     return "NOT READY" if failed else "READY"
+
+
+def verify_stage(written: DataFrame, expected: DataFrame, keys: list[str], unique: str | None = None) -> DataFrame:
+    """(check_name, severity, passed): a written table isn't empty, has as many rows as expected, no repeated keys and no repeated ``unique`` values."""
+    marks = [F.count("*").alias("n"), F.countDistinct(F.struct(*keys)).alias("k")] + ([F.countDistinct(unique).alias("u")] if unique else [])
+    one = written.agg(*marks).join(expected.agg(F.count("*").alias("want")), how="left")
+    checks = [("not empty", "CRITICAL", F.col("n") > 0), ("as many rows as expected", "HIGH", F.col("n") == F.col("want")), ("no repeated keys", "CRITICAL", F.col("n") == F.col("k"))]
+    if unique:
+        checks.append((f"{unique} is unique", "HIGH", F.col("n") == F.col("u")))
+    cells = F.array(*[F.struct(F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), passed.alias("passed")) for name, severity, passed in checks])
+    return one.select(F.explode(cells).alias("c")).select("c.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -68,3 +68,15 @@ def carry_over(new: DataFrame, old: DataFrame, key: str, fingerprint: str, carri
     joined = joined.withColumn("carry_state", state)
     values = {c: F.when(F.col("carry_state") == "preserved", F.col(f"_{c}")) for c in carried}
     return joined.withColumns(values).drop("_f", *[f"_{c}" for c in carried])
+
+
+def resolve_or_insert(dimension: DataFrame, names: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    """The dimension with the names it lacks, numbered on from its largest id in the order of the names; null names are left out.
+
+    A dimension is small (states, constituencies, members), so its new names are numbered in one task.
+    """
+    fresh = names.select(name_col).dropna().distinct().join(dimension.select(name_col), name_col, "left_anti")
+    top = F.broadcast(dimension.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top")))
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(name_col))
+    added = fresh.join(top, how="left").select((F.col("top") + place).cast("bigint").alias(id_col), name_col)
+    return dimension.select(F.col(id_col).cast("bigint").alias(id_col), name_col).unionByName(added)

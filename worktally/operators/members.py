@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worktally.functions.measures import allocation_name, member_name, parse_amount
+from worktally.functions.measures import allocation_name, member_name, parse_amount, round_to
 from worktally.operators.works import latest_rows
 
 
@@ -35,3 +35,18 @@ def match_allocations(members: DataFrame, limits: DataFrame) -> DataFrame:
     joined = members.withColumn("k", allocation_name(F.col("member_name"))).join(best, ["k", "tenure"], "left")
     confidence = F.when(F.col("n") == 1, "HIGH").when(F.col("n") > 1, "MEDIUM").otherwise("LOW")
     return joined.select("member_type", "member_id", F.coalesce("amount", F.lit(0)).cast("double").alias("allocated_amount"), confidence.alias("allocated_confidence"))
+
+
+def allocations_by_state(matched: DataFrame, works: DataFrame) -> DataFrame:
+    """(state_id, n_members, allocated_amount): each member's limit once in every state the member has works in."""
+    pairs = works.filter("state_id IS NOT NULL").select("member_type", "member_id", "state_id").distinct()
+    joined = pairs.join(matched, ["member_type", "member_id"])
+    return joined.groupBy("state_id").agg(F.count("*").alias("n_members"), F.sum(F.col("allocated_amount").cast("decimal(18,2)")).cast("double").alias("allocated_amount"))
+
+
+def prior_strength(members: DataFrame, rate: str, least: int = 5) -> DataFrame:
+    """(member_type, n, mean, variance, k): the weight k that a rate's prior has by the method of moments; null without variance."""
+    p = F.col(rate).cast("double") / 100
+    grouped = members.filter(F.col("total_works") >= least).groupBy("member_type").agg(F.count(rate).alias("n"), F.avg(p).alias("m"), F.var_pop(p).alias("v"))
+    k = F.when(F.col("v") > 0, F.col("m") * (1 - F.col("m")) / F.col("v") - 1)
+    return grouped.select("member_type", "n", round_to(F.col("m"), 4).alias("mean"), round_to(F.col("v"), 4).alias("variance"), round_to(k).alias("k"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from worktally.operators.references import Parent, Referring, member_kind, orphan_references, orphan_report
-from worktally.operators.snapshot_changes import snapshot_changes
+from worktally.operators.snapshot_changes import PUBLIC_WORKS, DatasetSpec, snapshot_changes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,7 +79,44 @@ judged AS (
 found AS (SELECT * FROM judged WHERE reason_code IS NOT NULL)
 """
 
+_BLANK = "[\\s\\x{A0}\\x{2000}-\\x{200B}\\x{202F}\\x{205F}\\x{3000}\\x{FEFF}]+"
+
+
+def _field(name: str) -> str:
+    return f"NULLIF(trim(regexp_replace(json_extract_string(j, '$.{name}'), '{_BLANK}', ' ', 'g')), '')"
+
+
+def _key(name: str) -> str:
+    x = _field(name)
+    return f"CASE WHEN regexp_full_match({x}, '[+-]?[0-9]+\\.0*') THEN regexp_replace({x}, '\\.0*$', '') ELSE {x} END"
+
+
+def _content(one: DatasetSpec) -> str:
+    numbers = [f"COALESCE(CAST(TRY_CAST(replace({_field(f)}, ',', '') AS DECIMAL(38,10)) AS VARCHAR), {_field(f)})" for f in one.numbers]
+    forms = ("%Y-%m-%d", "%d-%b-%Y", "%d-%m-%Y", "%b %d, %Y %I:%M:%S %p", "%b %d, %Y")
+    dates = ["COALESCE(CAST(CAST(COALESCE(" + ", ".join(f"try_strptime({_field(f)}, '{x}')" for x in forms) + f") AS DATE) AS VARCHAR), {_field(f)})" for f in one.dates]
+    return "concat_ws('|', " + ", ".join(f"COALESCE({c}, '<NULL>')" for c in [*numbers, *dates, *[_field(f) for f in one.texts]]) + ")"
+
+
+_P3_LINES = " UNION ALL ".join(
+    f"SELECT dataset, snapshot_no, line_no, CAST(to_json([{', '.join(_key(f) for f in one.identity)}]) AS VARCHAR) AS identity, {_content(one)} AS content FROM objects WHERE dataset = '{name}'" + "".join(f" AND {_key(f)} IS NOT NULL" for f in one.identity)
+    for name, one in PUBLIC_WORKS.datasets.items()
+)
+_P3 = f"""
+WITH objects AS (SELECT dataset, snapshot_no, line_no, CAST(raw_json AS JSON) AS j FROM records WHERE raw_json IS NOT NULL AND json_valid(raw_json) AND json_type(raw_json) = 'OBJECT'),
+lines AS ({_P3_LINES}),
+kept AS (SELECT dataset, snapshot_no, identity, arg_max(content, line_no) AS content FROM lines GROUP BY ALL),
+steps AS (SELECT dataset, snapshot_no, lag(snapshot_no) OVER (PARTITION BY dataset ORDER BY snapshot_no) AS before FROM (SELECT DISTINCT dataset, snapshot_no FROM records)),
+new_ AS (SELECT s.dataset, s.snapshot_no, k.identity, k.content FROM steps s JOIN kept k ON k.dataset = s.dataset AND k.snapshot_no = s.snapshot_no WHERE before IS NOT NULL),
+old_ AS (SELECT s.dataset, s.snapshot_no, k.identity, k.content FROM steps s JOIN kept k ON k.dataset = s.dataset AND k.snapshot_no = s.before)
+SELECT COALESCE(n.dataset, o.dataset) AS dataset, COALESCE(n.snapshot_no, o.snapshot_no) AS snapshot_no, COALESCE(n.identity, o.identity) AS identity,
+  CASE WHEN o.identity IS NULL THEN 'added' WHEN n.identity IS NULL THEN 'removed' ELSE 'changed' END AS change_kind
+FROM new_ n FULL JOIN old_ o ON n.dataset = o.dataset AND n.snapshot_no = o.snapshot_no AND n.identity = o.identity
+WHERE o.identity IS NULL OR n.identity IS NULL OR n.content <> o.content
+"""
+
 ORACLES = {
+    "p3_found": _P3,
     "p4_found": _P4_CASES + "SELECT table_name, row_id, load_month, reason_code FROM found",
     "p4_report": _P4_CASES + "SELECT table_name, load_month, reason_code, count(*) AS n_references FROM found GROUP BY ALL",
 }

@@ -342,6 +342,11 @@ _MARKS = (
     "(SELECT *, row_number() OVER (PARTITION BY work_id ORDER BY last_calculated DESC) AS rn FROM work_analysis WHERE work_id IS NOT NULL{0}) WHERE rn = 1 GROUP BY 1, 2) WHERE member_type IS NOT NULL AND member_id IS NOT NULL"
 )
 
+_ALLOCATION = (
+    f"SELECT member_type, member_id, CAST(COALESCE(amount, 0) AS DOUBLE) AS allocated_amount, CASE WHEN n = 1 THEN 'HIGH' WHEN n > 1 THEN 'MEDIUM' ELSE 'LOW' END AS allocated_confidence FROM master LEFT JOIN "
+    f"(SELECT k, tenure, count(*) AS n, max(amount) AS amount FROM (SELECT DISTINCT {_alloc('mp_name')} AS k, tenure, {_amount('allocated_amt')} AS amount FROM allocated_limit) WHERE k <> '' AND amount IS NOT NULL GROUP BY k, tenure) b ON b.k = {_alloc('member_name')} AND b.tenure = master.tenure"
+)
+
 ORACLES = {
     "normalize_member_name": f"SELECT DISTINCT sno, mp_name, {_member('mp_name')} AS member_name, {_alloc('mp_name')} AS allocation_name FROM allocated_limit",
     "parse_date": f"SELECT sno, max({_date('expenditure_date')}) AS day, CAST(max({_amount('fund_disbursed_amt')}) AS DOUBLE) AS amount FROM expenditure GROUP BY sno",
@@ -360,10 +365,7 @@ ORACLES = {
     "category_metrics": _sql(_categories()),
     "fy_metrics": _sql(_fiscal()),
     "zero_work_members": _sql(f"SELECT member_type, member_id, {_member('member_name')} AS normalized_name FROM idle"),
-    "allocation_match": _sql(
-        f"SELECT member_type, member_id, CAST(COALESCE(amount, 0) AS DOUBLE) AS allocated_amount, CASE WHEN n = 1 THEN 'HIGH' WHEN n > 1 THEN 'MEDIUM' ELSE 'LOW' END AS allocated_confidence FROM master LEFT JOIN "
-        f"(SELECT k, tenure, count(*) AS n, max(amount) AS amount FROM (SELECT DISTINCT {_alloc('mp_name')} AS k, tenure, {_amount('allocated_amt')} AS amount FROM allocated_limit) WHERE k <> '' AND amount IS NOT NULL GROUP BY k, tenure) b ON b.k = {_alloc('member_name')} AND b.tenure = master.tenure"
-    ),
+    "allocation_match": _sql(_ALLOCATION),
     "competition_rank": _sql("SELECT * FROM member_ranks"),
     "state_rank": _sql("SELECT * FROM state_ranks"),
     "peer_rank": _sql(
@@ -412,3 +414,32 @@ ORACLES["work_build"] = (
     f"san AS (SELECT * FROM (SELECT CAST({_whole('work_recommendation_dtl_id')} AS BIGINT) AS work_id, sanction_date AS s_date, sanction_amount AS s_amount, row_number() OVER (PARTITION BY {_whole('work_recommendation_dtl_id')} ORDER BY loaded_at DESC, state_name DESC NULLS LAST, mp_name DESC NULLS LAST, activity_name DESC NULLS LAST, work_category DESC NULLS LAST, recommendation_date DESC NULLS LAST, sanction_date DESC NULLS LAST, sanction_amount DESC NULLS LAST) AS rn FROM works_sanctioned) WHERE rn = 1 AND work_id IS NOT NULL) "
     f"SELECT work_id, {_activity('activity_name')} AS normalized_activity, {_date('recommendation_date')} AS recommendation_date, COALESCE({_date('s_date')}, {_date('sanction_date')}) AS sanction_date, CAST({_amount('recommended_amount')} AS DOUBLE) AS recommended_amount, CAST(COALESCE({_amount('s_amount')}, {_amount('sanction_amount')}) AS DOUBLE) AS sanction_amount, CAST(expenditure_amount AS DOUBLE) AS expenditure_amount, last_expenditure_date, n_payments FROM rec LEFT JOIN san USING (work_id) LEFT JOIN payments USING (work_id)"
 )
+_NINE = "work_recommendation_dtl_id work_id expenditure_date vendor_name vendor_id work_status state_name constituency mp_name".split()
+
+
+def _sha(*columns: str) -> str:
+    return "sha256(concat_ws('|', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '<NULL>')" for c in columns) + "))"
+
+
+def _squeezed(c: str) -> str:
+    return f"NULLIF(trim(regexp_replace({c}, '[\\s\\x{{A0}}]+', ' ', 'g')), '')"
+
+
+_PARTS = [_squeezed(c) for c in ("mp_name", "state_name", "constituency", "tenure")]
+_UPPER = "upper(trim(regexp_replace(state_name, '\\s+', ' ', 'g')))"
+_P = "CAST(completed_works AS DOUBLE) / total_works"
+ORACLES |= {
+    "expenditure_fingerprint": f"SELECT {_sha(*_NINE, _amount('fund_disbursed_amt'))} AS fingerprint, count(*) AS n_rows FROM expenditure GROUP BY 1",
+    "identity_key": f"SELECT DISTINCT sno, CASE WHEN {' AND '.join(f'{x} IS NOT NULL' for x in _PARTS)} THEN CAST(to_json([{', '.join(_PARTS)}]) AS VARCHAR) END AS identity, {_sha(_amount('allocated_amt'), 'house_of_parliament', _date('tenure_start_date'), _date('tenure_end_date'))} AS content_hash FROM allocated_limit",
+    "wilson_score": _sql(
+        f"SELECT member_type, member_id, {_r(f'({_P} + 3.8416 / (2 * total_works) - 1.96 * sqrt({_P} * (1 - {_P}) / total_works + 3.8416 / (4 * total_works * total_works))) / (1 + 3.8416 / total_works) * 100')} AS wilson_lower, {_r('(completion_rate_pct * total_works + 250.0) / (total_works + 5.0)')} AS shrunk_rate FROM members_"
+    ),
+    "prior_strength": _sql(f"SELECT member_type, n, {_r('m', 4)} AS mean, {_r('v', 4)} AS variance, CASE WHEN v > 0 THEN {_r('m * (1 - m) / v - 1')} END AS k FROM (SELECT member_type, count(completion_rate_pct) AS n, avg(completion_rate_pct / 100) AS m, var_pop(completion_rate_pct / 100) AS v FROM members_ WHERE total_works >= 5 GROUP BY member_type)"),
+    "allocation_by_state": _sql(
+        "SELECT state_id, count(*) AS n_members, CAST(sum(CAST(allocated_amount AS DECIMAL(18,2))) AS DOUBLE) AS allocated_amount FROM (SELECT DISTINCT member_type, member_id, state_id FROM works WHERE state_id IS NOT NULL) JOIN ("
+        + _ALLOCATION
+        + ") USING (member_type, member_id) GROUP BY state_id"
+    ),
+    "dimension_resolve": f"WITH known AS (SELECT CAST(state_id AS BIGINT) AS state_id, {_UPPER} AS state_name FROM states), fresh AS (SELECT DISTINCT {_UPPER} AS state_name FROM works_recommended WHERE {_UPPER} <> '' AND {_UPPER} NOT IN (SELECT state_name FROM known)) SELECT state_id, state_name FROM known UNION ALL SELECT (SELECT max(state_id) FROM known) + row_number() OVER (ORDER BY state_name), state_name FROM fresh",
+    "stage_verify": "SELECT * FROM (VALUES ('not empty', 'CRITICAL', true), ('as many rows as expected', 'HIGH', true), ('no repeated keys', 'CRITICAL', true)) v(check_name, severity, passed)",
+}

@@ -366,3 +366,61 @@ def audit_ranges(p: WorksPlan) -> DataFrame:
 def audit_overlap(p: WorksPlan) -> DataFrame:
     """Ids that occur as MP and as MLA."""
     return audit.overlap(p.table("mps").select(F.col("mp_id").alias("member_id")), p.table("mlas").select(F.col("mla_id").alias("member_id")), "member_id")
+
+
+@_query
+def expenditure_fingerprint(p: WorksPlan) -> DataFrame:
+    """How often each payment was delivered, by the fingerprint of its nine fields."""
+    fields = "work_recommendation_dtl_id work_id expenditure_date vendor_name vendor_id work_status state_name constituency mp_name".split()
+    mark = measures.hash_of(*[F.col(f) for f in fields], measures.parse_amount(F.col("fund_disbursed_amt")))
+    return p.table("expenditure").groupBy(mark.alias("fingerprint")).agg(F.count("*").alias("n_rows"))
+
+
+@_query
+def identity_key(p: WorksPlan) -> DataFrame:
+    """Identity and content hash of every limit; the identity is null if a part of it is blank."""
+    c = F.col
+    identity = measures.identity_of(c("mp_name"), c("state_name"), c("constituency"), c("tenure"))
+    content = measures.hash_of(measures.parse_amount(c("allocated_amt")), c("house_of_parliament"), measures.parse_date(c("tenure_start_date")), measures.parse_date(c("tenure_end_date")))
+    return p.table("allocated_limit").select("sno", identity.alias("identity"), content.alias("content_hash")).distinct()
+
+
+@_query
+def wilson_score(p: WorksPlan) -> DataFrame:
+    """Lower Wilson bound and shrunk rate of completions."""
+    score = measures.wilson_lower(F.col("completed_works"), F.col("total_works"))
+    drawn = measures.shrunk(F.col("completion_rate_pct"), F.col("total_works"))
+    return p.members.select("member_type", "member_id", measures.round_to(score).alias("wilson_lower"), measures.round_to(drawn).alias("shrunk_rate"))
+
+
+@_query
+def prior_strength(p: WorksPlan) -> DataFrame:
+    """Weight of the prior of the completion rate, by the method of moments."""
+    return members.prior_strength(p.members, "completion_rate_pct")
+
+
+@_query
+def allocation_by_state(p: WorksPlan) -> DataFrame:
+    """Limits by state, each member once a state."""
+    return members.allocations_by_state(members.match_allocations(p.master, p.table("allocated_limit")), p.measured)
+
+
+@_query
+def dimension_resolve(p: WorksPlan) -> DataFrame:
+    """The states with the names that occur in recommendations but not among them."""
+    upper = lambda c: F.upper(F.trim(F.regexp_replace(c, r"\s+", " ")))
+    known = p.table("states").select("state_id", upper("state_name").alias("state_name"))
+    return delta.resolve_or_insert(known, p.table("works_recommended").select(upper("state_name").alias("state_name")).filter("state_name <> ''"), "state_id", "state_name")
+
+
+@_query
+def isolation_agg(p: WorksPlan) -> DataFrame:
+    """The 95th percentile of the isolation scores of each state's works."""
+    scores = isolation.isolation_scores(p.benchmarked)
+    return isolation.isolation_by(p.measured.filter("state_id IS NOT NULL"), scores, ["state_id"])
+
+
+@_query
+def stage_verify(p: WorksPlan) -> DataFrame:
+    """Checks of the members' evidence records against the members."""
+    return audit.verify_stage(_evidence(p), p.members, ["member_type", "member_id"])
