@@ -153,3 +153,25 @@ def test_overall_uses_nearest_ranks(spark):
     rows = rows.withColumns({c: F.lit(1.0) for c in counts}).withColumns({"total_works": F.lit(5), "sanctioned_works": F.lit(1), "sanctioned_amount": (F.col("member_id") + 1) * 10.0})
     got = {r.scope: r for r in metrics.overall_metrics(rows).collect()}
     assert (got["BOTH"].p25_work_cost, got["BOTH"].median_work_cost, got["BOTH"].p75_work_cost, got["BOTH"].p90_work_cost) == (20.0, 30.0, 40.0, 50.0)
+
+
+def test_json_validation(spark):
+    from worktally.operators.validation import validate_json
+
+    texts = ['{"a": 1, "l": [1, 2]}', '{"a": 1, "l": [], "x": 2}', '{"l": "no"}', "broken {", None, '[1]', '{"a": "CORRUPT", "l": [1]}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.problems for r in validate_json(df, "t", ["a"], ["l"], {"l": (1, 2)}, ["corrupt"]).orderBy("i").collect()]
+    assert got == [[], ["unknown key", "length of l"], ["missing a", "length of l"], ["not an object"], ["not an object"], ["not an object"], ["contains corrupt"]]
+
+
+def test_names_a_dimension_lacks_are_numbered_on(spark):
+    dim = spark.createDataFrame([(4, "A"), (7, "B")], "id bigint, name string")
+    new = spark.createDataFrame([("B",), ("D",), ("C",), ("C",), (None,)], "name string")
+    assert sorted(map(tuple, delta.resolve_or_insert(dim, new, "id", "name").collect())) == [(4, "A"), (7, "B"), (8, "C"), (9, "D")]
+    assert [r.id for r in delta.resolve_or_insert(dim.limit(0), new.limit(1), "id", "name").collect()] == [1]
+
+
+def test_stage_checks(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "x")], "k int, h string")
+    got = {r.check_name: r.passed for r in audit.verify_stage(df, df, ["k"], "h").collect()}
+    assert got == {"not empty": True, "as many rows as expected": True, "no repeated keys": True, "h is unique": False}

@@ -48,3 +48,9 @@ def verify_stage(written: DataFrame, expected: DataFrame, keys: list[str], uniqu
         checks.append((f"{unique} is unique", "HIGH", F.col("n") == F.col("u")))
     cells = F.array(*[F.struct(F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), passed.alias("passed")) for name, severity, passed in checks])
     return one.select(F.explode(cells).alias("c")).select("c.*")
+
+
+def histograms(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, value, n_rows): how often each value of each column occurs, in one pass."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]))
+    return df.select(cells.alias("x")).groupBy("x.column_name", "x.value").agg(F.count("*").alias("n_rows"))

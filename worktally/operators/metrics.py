@@ -243,3 +243,10 @@ def fiscal_metrics(works: DataFrame, payments: DataFrame) -> DataFrame:
     counts = [F.count_if(is_kind(k)).alias(n) for k, n in (("recommended", "recommended_works"), ("sanctioned", "sanctioned_works"), ("completed", "completed_works"), ("expenditure", "expenditure_count"))]
     amounts = [F.coalesce(F.sum(F.when(is_kind(k), F.col("amount"))), F.lit(0)).cast("double").alias(n) for k, n in (("recommended", "recommended_amount"), ("sanctioned", "sanctioned_amount"), ("completed", "completion_amount"), ("expenditure", "expenditure_amount"))]
     return rows.groupBy("fy_start", "member_type").agg(*counts, *amounts).withColumn("fy_label", fiscal_label(F.col("fy_start")))
+
+
+def national_context(statistics: DataFrame, metrics: tuple[str, ...] = ("completion_rate_pct", "expenditure_sanction_utilization_pct", "avg_sanction_delay_days")) -> DataFrame:
+    """One row: the national median and 90th percentile of a few metrics over both populations."""
+    own = statistics.filter("scope = 'BOTH'")
+    pick = lambda m, c: F.max(F.when(F.col("metric_name") == m, F.col(c))).alias(f"{m}_{c}")
+    return own.agg(*[pick(m, c) for m in metrics for c in ("median", "p90")])

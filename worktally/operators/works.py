@@ -108,3 +108,18 @@ def with_measures(works: DataFrame, reference_date: date = REFERENCE_DATE) -> Da
             "completion_percentage": spent("completion_amount"),
         }
     )
+
+
+def with_profiles(works: DataFrame, default_days: int = 365) -> DataFrame:
+    """financial_profile, timeline_profile and payment_profile of benchmarked works.
+
+    The timeline is held against the peers' 90th percentile of execution times, else ``default_days``.
+    """
+    share, waits, since = F.col("expenditure_percentage"), F.col("pending_days"), F.col("days_since_payment")
+    limit = F.coalesce("duration_p90", F.lit(float(default_days)))
+    done, planned = F.col("status") == "Completed", F.col("status") == "Recommended"
+    money = F.when(planned | share.isNull(), "UNKNOWN").when(share >= 90, "STRONG").when(share >= 50, "ADEQUATE").otherwise("LOW")
+    finished = F.when(F.col("sanction_delay_days") < 0, "UNKNOWN").otherwise("ON_TRACK")
+    open_works = F.when(planned | waits.isNull() | (waits < 0), "UNKNOWN").when(waits > limit * 1.5, "SEVERELY_DELAYED").when(waits > limit, "DELAYED").otherwise("ON_TRACK")
+    paid = F.when(done | since.isNull() | (since < 0), "NO_DATA").when(since <= 180, "ACTIVE").when(since <= 365, "SLOWING").otherwise("STALLED")
+    return works.withColumns({"financial_profile": money, "timeline_profile": F.when(done, finished).otherwise(open_works), "payment_profile": paid})

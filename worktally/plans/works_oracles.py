@@ -443,3 +443,13 @@ ORACLES |= {
     "dimension_resolve": f"WITH known AS (SELECT CAST(state_id AS BIGINT) AS state_id, {_UPPER} AS state_name FROM states), fresh AS (SELECT DISTINCT {_UPPER} AS state_name FROM works_recommended WHERE {_UPPER} <> '' AND {_UPPER} NOT IN (SELECT state_name FROM known)) SELECT state_id, state_name FROM known UNION ALL SELECT (SELECT max(state_id) FROM known) + row_number() OVER (ORDER BY state_name), state_name FROM fresh",
     "stage_verify": "SELECT * FROM (VALUES ('not empty', 'CRITICAL', true), ('as many rows as expected', 'HIGH', true), ('no repeated keys', 'CRITICAL', true)) v(check_name, severity, passed)",
 }
+_HELD = ("completion_rate_pct", "expenditure_sanction_utilization_pct", "avg_sanction_delay_days")
+ORACLES |= {
+    "work_profiles": _sql(
+        "SELECT work_id, CASE WHEN status = 'Recommended' OR expenditure_percentage IS NULL THEN 'UNKNOWN' WHEN expenditure_percentage >= 90 THEN 'STRONG' WHEN expenditure_percentage >= 50 THEN 'ADEQUATE' ELSE 'LOW' END AS financial_profile, "
+        "CASE WHEN status = 'Completed' THEN CASE WHEN sanction_delay_days < 0 THEN 'UNKNOWN' ELSE 'ON_TRACK' END WHEN status = 'Recommended' OR pending_days IS NULL OR pending_days < 0 THEN 'UNKNOWN' WHEN pending_days > COALESCE(duration_p90, 365) * 1.5 THEN 'SEVERELY_DELAYED' WHEN pending_days > COALESCE(duration_p90, 365) THEN 'DELAYED' ELSE 'ON_TRACK' END AS timeline_profile, "
+        "CASE WHEN status = 'Completed' OR days_since_payment IS NULL OR days_since_payment < 0 THEN 'NO_DATA' WHEN days_since_payment <= 180 THEN 'ACTIVE' WHEN days_since_payment <= 365 THEN 'SLOWING' ELSE 'STALLED' END AS payment_profile FROM benchmarked"
+    ),
+    "national_context": _sql("SELECT " + ", ".join(f"{_r(f'quantile_cont({m}, {q})', 4)} AS {m}_{n}" for m in _HELD for q, n in ((0.5, "median"), (0.9, "p90"))) + " FROM members_ WHERE total_works > 0"),
+    "audit_histograms": _sql(" UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows FROM flagged GROUP BY 2" for c in ("status", "risk_level", "benchmark_quality", "cost_status", "duration_status"))),
+}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from worktally.functions import measures
-from worktally.operators import anomaly, audit, delta, evidence, isolation, members, metrics, profiling, ranking, works
+from worktally.operators import anomaly, audit, delta, evidence, isolation, members, metrics, profiling, ranking, validation, works
 from worktally.plans.works_plan import WorksPlan
 
 QUERIES: dict = {}
@@ -424,3 +424,40 @@ def isolation_agg(p: WorksPlan) -> DataFrame:
 def stage_verify(p: WorksPlan) -> DataFrame:
     """Checks of the members' evidence records against the members."""
     return audit.verify_stage(_evidence(p), p.members, ["member_type", "member_id"])
+
+
+@_query
+def work_profiles(p: WorksPlan) -> DataFrame:
+    """Financial, timeline and payment profile of every work."""
+    return works.with_profiles(p.benchmarked).select("work_id", "financial_profile", "timeline_profile", "payment_profile")
+
+
+@_query
+def national_context(p: WorksPlan) -> DataFrame:
+    """National medians and 90th percentiles of three metrics."""
+    return metrics.national_context(metrics.national_statistics(p.members))
+
+
+@_query
+def state_evidence(p: WorksPlan) -> DataFrame:
+    """Hashed evidence records of states."""
+    sections = {
+        "overview": ["total_works", "completed_works", "active_members"],
+        "financial": ["sanctioned_amount", "expenditure_amount", "expenditure_sanction_utilization_pct"],
+        "risk": ["flagged_works", "flagged_rate_pct", "overdue_over_1_year"],
+    }
+    return evidence.evidence_records(p.states, ["state_id"], sections)
+
+
+@_query
+def audit_histograms(p: WorksPlan) -> DataFrame:
+    """Works by status, level and quality of benchmark."""
+    return audit.histograms(p.flagged, ["status", "risk_level", "benchmark_quality", "cost_status", "duration_status"])
+
+
+@_query
+def json_validation(p: WorksPlan) -> DataFrame:
+    """How many raw lines have which problems."""
+    lines = p.table("records").select("dataset", "raw_json")
+    checked = validation.validate_json(lines, "raw_json", ["MP_NAME"], forbidden=["Total_Amt"])
+    return checked.groupBy("dataset", F.array_join("problems", ",").alias("problems")).agg(F.count("*").alias("n_rows"))
