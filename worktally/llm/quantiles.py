@@ -157,24 +157,33 @@ def build_digests(codes: DataFrame, keys: list[str], k: int = K) -> DataFrame:
 
 
 def merge_digests(parts: DataFrame, keys: list[str], k: int = K, n_parts: int = 1) -> DataFrame:
-    """(keys, node, n): the digests of equal keys merged by node addition, at most FAN_IN of them in one task."""
-    schema = _schema(parts, keys)
+    """(keys, node, n): the digests of equal keys merged by node addition, at most FAN_IN of them at a time."""
     if "part" not in parts.columns:
         parts, n_parts = parts.withColumn("part", F.lit(0)), 1
+    while n_parts > FAN_IN:
+        n_parts = -(-n_parts // FAN_IN)
+        parts = _squeezed(parts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")), [*keys, "part"], k)
+    return _squeezed(parts, keys, k)
 
-    def squeeze(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _compress_frame(pdf, keys, k)[[*keys, "node", "n"]]
 
-    while n_parts > FAN_IN:
-        with_part = T.StructType([*schema.fields, T.StructField("part", T.IntegerType())])
+def _squeezed(parts: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """The nodes added up and compressed. A task holds whole digests, many small ones or a few large ones, and compresses all at once."""
 
-        def level(pdf: pd.DataFrame) -> pd.DataFrame:
-            return _compress_frame(pdf, [*keys, "part"], k)[[*keys, "node", "n", "part"]]
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        size, most = 0, NODES_HELD
+        for pdf in batches:
+            held.append(pdf)
+            size += len(pdf)
+            if size > most:
+                held = [_compress_frame(pd.concat(held, ignore_index=True), keys, k)]
+                size = len(held[0])
+                most = max(NODES_HELD, 2 * size)
+        if held:
+            yield _compress_frame(pd.concat(held, ignore_index=True), keys, k)[[*keys, "node", "n"]]
 
-        n_parts = -(-n_parts // FAN_IN)
-        parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
-        parts = parts.groupBy(*keys, "part", "node").agg(F.sum("n").alias("n")).groupBy(*keys, "part").applyInPandas(level, with_part)
-    return parts.groupBy(*keys, "node").agg(F.sum("n").alias("n")).groupBy(*keys).applyInPandas(squeeze, schema)
+    added = parts.groupBy(*keys, "node").agg(F.sum("n").alias("n"))
+    return added.repartition(shuffle_width(parts.sparkSession), *keys).mapInPandas(run, _schema(parts, keys))
 
 
 def read_percentiles(digests: DataFrame, keys: list[str], fractions: list[float], k: int = K) -> DataFrame:
