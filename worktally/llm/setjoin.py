@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worktally.runtime import broadcast_checked
+from worktally.runtime import broadcast_checked, cut
 
 
 def _least(t: float, n: Column) -> Column:
@@ -30,7 +30,8 @@ def similarity_join(left: DataFrame, right: DataFrame, threshold: float) -> Data
         part = side.select(F.lit(name).alias("side"), F.col("id").cast("string").alias("id"), F.explode("tokens").alias("token"))
         listed = part if listed is None else listed.unionByName(part)
     rarity = broadcast_checked(listed.groupBy("token").agg(F.count("*").alias("freq")))
-    ordered = (
+    # Read four times below, so it is written once.
+    ordered = cut(
         listed.join(rarity, "token")
         .groupBy("side", "id")
         .agg(F.sort_array(F.collect_set(F.struct("freq", "token"))).alias("s"))
