@@ -42,7 +42,9 @@ def whole_number(x: Column) -> Column:
     science = s.rlike(r"^[+-]?\d+(\.\d+)?[eE]\+?\d{1,2}$")
     value = _try_decimal(s, 38, 10)
     whole = F.when(value == F.floor(value), value)
-    return F.when(plain, _try_decimal(digits, 38, 0)).when(science, whole.cast("decimal(38,0)"))
+    # Most keys are bare digits: one test, and none of the rewriting below.
+    bare = x.cast("string").rlike(r"^[0-9]{1,18}$")
+    return F.when(bare, _try_decimal(x.cast("string"), 38, 0)).when(plain, _try_decimal(digits, 38, 0)).when(science, whole.cast("decimal(38,0)"))
 
 
 def _try_decimal(x: Column, precision: int, scale: int) -> Column:
