@@ -40,7 +40,7 @@ class WorksPlan:
 
     @cached_property
     def groups(self) -> DataFrame:
-        return benchmarks.benchmark_groups(self.measured)
+        return cut(benchmarks.benchmark_groups(self.measured))
 
     @cached_property
     def benchmarked(self) -> DataFrame:
