@@ -54,6 +54,25 @@ def test_typed_values_find_their_entry(spark):
     assert {r.value: r.ref_id for r in got if r.kind == "category"} == {"Peyjal": 9, "Drnking  Wter": 9, "Industry": 0}
 
 
+def test_a_join_by_units_keeps_every_pair_that_can_agree(spark):
+    rng = random.Random(5)
+    left = [(str(i), rng.sample("abcdefghijkl", rng.randint(0, 9)), rng.randint(1, 12)) for i in range(80)]
+    right = [(str(i), rng.sample("abcdefghijkl", rng.randint(0, 6))) for i in range(50)]
+    for t in (0.3, 0.5, 1.0):
+        # The most that c <= units and c <= common can give by position.
+        most = lambda a, n, b: min(n, len(set(a) & set(b)))
+        want = {(i, j) for i, a, n in left for j, b in right if a and b and most(a, n, b) / (n + len(b) - most(a, n, b)) >= t - 1e-9}
+        got = similarity_join(spark.createDataFrame(left, "id string, tokens array<string>, units int"), spark.createDataFrame(right, "id string, tokens array<string>"), t, "units")
+        assert {(r.left_id, r.right_id) for r in got.collect()} == want
+
+
+def test_alternatives_of_a_word_cost_no_entry(spark):
+    names = ["Repair of village meeting platform", "Heating plant", "Seating", "Beating retreat", "Fencing", "Setting", "Rating", "Resting shed", "Renting", "Retting tank", "Greeting hall", "Eating house", "Netting", "Betting", "Letting", "Reading room"]
+    ref = spark.createDataFrame([("activity", i, n) for i, n in enumerate(names, 1)], "kind string, ref_id int, name string")
+    got = map_values(spark.createDataFrame([("activity", "Repair of village reting platform 2 nos")], "kind string, value string"), ref).first()
+    assert (got.ref_id, got.score) == (1, 1.0)
+
+
 def test_mapping_of_empty_tables(spark):
     ref = spark.createDataFrame(REFERENCE, "kind string, ref_id int, name string")
     values = spark.createDataFrame([("activity", "hand pump")], "kind string, value string")

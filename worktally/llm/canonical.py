@@ -2,9 +2,9 @@
 
 Method: a prefix-filter set-similarity join, used twice. First each distinct typed word is joined
 with the words of the reference list (and their known abbreviations and synonyms) as a set of
-letters and letter pairs; then each distinct value is joined with the entries as a set of the words
-so found. Tokens are ordered by global rarity, only rare prefixes are joined, length and positional
-filters are applied and Jaccard is verified exactly; the best entry is kept. An exact check of the
+letters and letter pairs; then each distinct value is joined with the entries as a set of all words
+so found, by a bound that every pair of enough agreement keeps. Tokens are ordered by global rarity, only rare prefixes are joined, length and positional
+filters are applied and the overlap is verified exactly; the best entry is kept. An exact check of the
 edit distance of each word follows the first join, a count by position the second.
 
 Values without an entry of enough similarity get ref_id 0. Null and blank values have no row; a
@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from worktally.llm.setjoin import similarity_join
 from worktally.runtime import cut
 
-#: Least Jaccard similarity of a typed word and a known word, and of a value and an entry.
-WORD_SIMILARITY, VALUE_SIMILARITY = 0.4, 0.3
+#: Least Jaccard similarity of a typed word and a known word.
+WORD_SIMILARITY = 0.4
 #: Alternatives of a word are kept if they are at most so much less near than its best one, or its singular or plural.
 ALTERNATIVES_WITHIN = 0.2
 #: Least share of an entry's and a value's words, counted by position, that must agree.
@@ -234,9 +234,10 @@ def map_values(values: DataFrame, reference: DataFrame) -> DataFrame:
     )
     sets = cut(sets)
     tag = lambda ws: F.transform(ws, lambda w: F.concat(F.col("kind"), F.lit(":"), w))
-    left = sets.select(F.concat_ws("|", "kind", "core").alias("id"), tag(F.col("words")).alias("tokens"))
+    left = sets.select(F.concat_ws("|", "kind", "core").alias("id"), tag(F.col("words")).alias("tokens"), "n_words")
     right = entries.select(F.col("ref_id").cast("string").alias("id"), tag(F.col("words")).alias("tokens"))
-    pairs = similarity_join(left, right, VALUE_SIMILARITY).select(
+    # No position counts more than its units, so a pair left out here is below AGREEMENT in the check that follows.
+    pairs = similarity_join(left, right, AGREEMENT, "n_words").select(
         F.split("left_id", r"\|")[0].alias("kind"), F.split("left_id", r"\|")[1].alias("core"), F.col("right_id").cast("bigint").alias("ref_id"), "jaccard"
     )
     # Exact check by position: each position counts once, with the nearest alternative that is in the entry.
