@@ -1,9 +1,17 @@
 import json
+import os
+import shutil
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from worktally.functions.measures import parse_amount, parse_date
+from worktally.functions.text import whole_number
 from worktally.plans import pipeline
+from worktally.plans.works_plan import WorksPlan
 from worktally.sources import files, ndjson
 from worktally.sources.versioned import VersionedTable
 from worktally.streaming.snapshots import stream_upserts
@@ -79,3 +87,35 @@ def test_pipeline_ends_early_without_changes(spark, sf_small, tmp_path):
     first = pipeline.run(spark, sf_small, str(tmp_path))
     assert first.changed and VersionedTable(spark, f"{tmp_path}/member_ranks").read().count() > 0
     assert not pipeline.run(spark, sf_small, str(tmp_path)).changed
+
+
+def test_pipeline_sees_a_new_member_and_a_moved_payment(spark, sf_small, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    shutil.copytree(sf_small, folder)
+    os.chmod(folder, 0o755)
+
+    def rewrite(name, change):
+        path = f"{folder}/{name}.parquet"
+        table = pq.read_table(path)
+        os.remove(path)
+        pq.write_table(pa.Table.from_pylist(change(table.to_pylist()), table.schema), path)
+
+    def result(name):
+        return VersionedTable(spark, f"{out}/{name}").read()
+
+    assert pipeline.run(spark, folder, out).changed
+    rewrite("mps", lambda rows: [*rows, {**rows[0], "mp_id": 987654, "mp_name": "Someone New"}])
+    assert pipeline.run(spark, folder, out).changed
+    assert result("member_ranks").filter("member_id = 987654").count() == 1
+
+    # A payment before its work's last one moves to another fiscal year: the sum and the last day stay.
+    work = WorksPlan(spark, folder)
+    key = whole_number(F.col("work_recommendation_dtl_id")).cast("bigint").alias("work_id")
+    paid = work.table("expenditure").select("sno", key, parse_date(F.col("expenditure_date")).alias("day"), parse_amount(F.col("fund_disbursed_amt")).alias("amount"))
+    once = paid.groupBy("sno").agg(F.count("*").alias("n"), F.first("work_id").alias("work_id"), F.first("day").alias("day"), F.first("amount").alias("amount"))
+    sno = once.join(work.measured.select("work_id", "last_expenditure_date"), "work_id").filter("n = 1 AND day < last_expenditure_date AND amount > 0").first().sno
+    rewrite("expenditure", lambda rows: [{**r, "expenditure_date": "2001-05-05"} if r["sno"] == sno else r for r in rows])
+    assert result("fiscal_metrics").filter("fy_start = 2001").count() == 0
+    assert pipeline.run(spark, folder, out).changed
+    assert result("fiscal_metrics").filter("fy_start = 2001 AND expenditure_count = 1").count() == 1
+    assert not pipeline.run(spark, folder, out).changed

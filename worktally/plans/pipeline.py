@@ -1,4 +1,4 @@
-"""The whole run: a gate for unchanged input, a full recompute, and one versioned table for each result."""
+"""The whole run: a gate for unchanged inputs, a full recompute, and one versioned table for each result."""
 
 from __future__ import annotations
 
@@ -42,16 +42,31 @@ def results(plan: WorksPlan) -> dict[str, DataFrame]:
     }
 
 
+def inputs_seen(plan: WorksPlan) -> DataFrame:
+    """(source, record, content_hash): every input the results read, by key: works, members of the master and payments.
+
+    Payments have no key of their own here: equal ones are one record, and how many there are is its content.
+    """
+
+    def one(source: str, df: DataFrame, keys: list[str]) -> DataFrame:
+        content = F.to_json(F.struct(*[c for c in sorted(df.columns) if c not in keys]))
+        return df.select(F.lit(source).alias("source"), F.to_json(F.struct(*keys)).alias("record"), F.sha2(content, 256).alias("content_hash"))
+
+    paid = ["work_id", "day", "amount"]
+    payments = plan.payment_rows.groupBy(*paid).agg(F.count("*").alias("n"))
+    return one("works", plan.measured, ["work_id"]).unionByName(one("members", plan.master, ["member_type", "member_id"])).unionByName(one("payments", payments, paid))
+
+
 def run(spark: SparkSession, folder: str, out: str) -> RunReport:
-    """Recompute all results of the tables in ``folder`` if a work changed since the last run.
+    """Recompute all results of the tables in ``folder`` if a work, a member or a payment changed since the last run.
 
     Global statistics are always taken over the full population; a run without changes ends early.
     """
     began = time.time()
     plan = WorksPlan(spark, folder)
-    state = VersionedTable(spark, f"{out}/_works_seen")
-    now = plan.measured.select("work_id", F.sha2(F.to_json(F.struct(*[c for c in sorted(plan.measured.columns) if c != "work_id"])), 256).alias("content_hash"))
-    if state.current is not None and delta.is_unchanged(delta.table_diff(state.read(), now, ["work_id"], "content_hash")):
+    state = VersionedTable(spark, f"{out}/_inputs_seen")
+    now = inputs_seen(plan)
+    if state.current is not None and delta.is_unchanged(delta.table_diff(state.read(), now, ["source", "record"], "content_hash")):
         return RunReport(False, {"gate": time.time() - began})
     report = RunReport(True, {"gate": time.time() - began})
     for name, df in results(plan).items():
