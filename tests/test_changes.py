@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 from worktally.operators.references import Parent, Referring, orphan_report, reference_status
 from worktally.operators.snapshot_changes import PUBLIC_WORKS, snapshot_changes, snapshot_lines
+from worktally.plans import registry
 from pyspark.sql import functions as F
 
 SCHEMA = "snapshot_no int, dataset string, line_no bigint, identity string, raw_json string, content string, ordinal int"
@@ -115,3 +116,28 @@ def test_references_of_empty_tables_and_a_hot_key(spark):
     assert orphan_report(*_tables(spark, [], [("1", T0, None, True)])).count() == 0
     got = reference_status(*_tables(spark, refs, [("1", T0, None, True)] * 3)).filter("reason_code IS NULL").count()
     assert got == sum(1 for i in range(300) if i % 3 or i == 1)
+
+
+def test_deliveries_are_compared_by_all_content_fields(spark, tmp_path):
+    fields = "activity_name work_category work_description recommendation_date recommended_amount sanction_date sanction_amount work_stage letter_no".split()
+    columns = ["work_recommendation_dtl_id string", *[f"{f} string" for f in fields], "flag int", "file_status boolean", "attach_id bigint", "loaded_at timestamp", "removed_at timestamp"]
+    base = dict(zip(fields, ["Hall", "Health", "by the tank", "2021-05-27", "100000", "2021-06-01", "5", "Sanctioned", "L/1"])) | {"flag": 0, "file_status": True, "attach_id": 7}
+    changes = {
+        "1": {},
+        "2": {"flag": 1},
+        "3": {"recommendation_date": "28-May-2021"},
+        "4": {"recommended_amount": "1,00,000.00", "recommendation_date": "May 27, 2021 12:00:00 AM", "activity_name": " Hall "},
+        "5": {"file_status": None},
+        "6": {"work_description": None},
+    }
+    names = [c.split()[0] for c in columns]
+    rows = []
+    for key, change in changes.items():
+        rows.append({**base, "work_recommendation_dtl_id": key, "loaded_at": datetime(2022, 1, 1), "removed_at": None})
+        rows.append({**base, **change, "work_recommendation_dtl_id": f" {key}.0", "loaded_at": datetime(2023, 1, 1), "removed_at": None})
+    spark.createDataFrame([tuple(r[n] for n in names) for r in rows], ", ".join(columns)).write.parquet(str(tmp_path / "works_recommended.parquet"))
+    run = lambda name: registry.queries()[name](spark, str(tmp_path)).collect()
+    same = {1, 4}
+    assert {r.work_id: r.state for r in run("snapshot_dedupe_full")} == {i: "repeat" if i in same else "conflict" for i in range(1, 7)}
+    assert {r.work_id: r.op for r in run("snapshot_diff_full")} == {i: "unchanged" if i in same else "update" for i in range(1, 7)}
+    assert {r.work_id: r.carry_state for r in run("ml_carryover_full")} == {i: "preserved" if i in same else "stale" for i in range(1, 7)}

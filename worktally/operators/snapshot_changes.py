@@ -80,6 +80,21 @@ def _identity_part(x: Column) -> Column:
     return F.when(decimal, F.coalesce(number_text(text), text)).otherwise(text)
 
 
+def _by_value(numbers: Column, dates: Column, texts: Column) -> Column:
+    """One array of texts: numbers by value, dates by day, text with white space collapsed."""
+    return F.concat(
+        F.transform(numbers, lambda x: F.coalesce(number_text(x), collapsed(x))),
+        F.transform(dates, lambda x: F.coalesce(day(x).cast("string"), collapsed(x))),
+        F.transform(texts, collapsed),
+    )
+
+
+def content_hash(spec: DatasetSpec) -> Column:
+    """SHA-256 of all content fields, by value, of a table that has them as columns of the same names in lower case."""
+    columns = lambda fields: F.array(*[F.col(f.lower()).cast("string") for f in fields]).cast("array<string>")
+    return F.sha2(F.to_json(_by_value(columns(spec.numbers), columns(spec.dates), columns(spec.texts))), 256)
+
+
 def snapshot_lines(records: DataFrame, spec: SnapshotSpec = PUBLIC_WORKS) -> DataFrame:
     """(dataset, snapshot_no, line_no, identity, content) of each line that is a record.
 
@@ -110,11 +125,7 @@ def snapshot_lines(records: DataFrame, spec: SnapshotSpec = PUBLIC_WORKS) -> Dat
         raws(lambda one: one.dates).alias("dates"),
         raws(lambda one: one.texts).alias("texts"),
     )
-    content = F.concat(
-        F.transform("numbers", lambda x: F.coalesce(number_text(x), collapsed(x))),
-        F.transform("dates", lambda x: F.coalesce(day(x).cast("string"), collapsed(x))),
-        F.transform("texts", collapsed),
-    )
+    content = _by_value(F.col("numbers"), F.col("dates"), F.col("texts"))
     return (
         taken.withColumn("parts", F.explode(F.array(F.transform("keys", _identity_part))))
         .filter(F.size("parts") == F.size(F.array_compact("parts")))

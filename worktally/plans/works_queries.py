@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from worktally.functions import measures
 from worktally.operators import anomaly, audit, delta, evidence, isolation, members, metrics, profiling, ranking, validation, works
+from worktally.operators.snapshot_changes import PUBLIC_WORKS, content_hash
 from worktally.plans.works_plan import WorksPlan
 
 QUERIES: dict = {}
@@ -268,9 +271,18 @@ def backlog_merge(p: WorksPlan) -> DataFrame:
     return evidence.merge_backlog(p.members.filter("ranking_qualified"), p.members, keys)
 
 
-def _versions(p: WorksPlan) -> tuple[DataFrame, DataFrame]:
+def _four_fields() -> Column:
+    """The content as the SQL of the queries below has it: four fields as typed. The queries named _full take all, by value."""
+    return measures.hash_of(F.col("recommended_amount"), F.col("sanction_amount"), F.col("work_stage"), F.col("sanction_date"))
+
+
+def _all_fields() -> Column:
+    return content_hash(PUBLIC_WORKS.datasets["works_recommended"])
+
+
+def _versions(p: WorksPlan, content: Callable[[], Column] = _four_fields) -> tuple[DataFrame, DataFrame]:
     """The first and the last delivery of each recommendation, with a hash of its content."""
-    rows = p.table("works_recommended").select(works.whole_number(F.col("work_recommendation_dtl_id")).cast("bigint").alias("work_id"), "loaded_at", "removed_at", "letter_no", measures.hash_of(F.col("recommended_amount"), F.col("sanction_amount"), F.col("work_stage"), F.col("sanction_date")).alias("content_hash"))
+    rows = p.table("works_recommended").select(works.whole_number(F.col("work_recommendation_dtl_id")).cast("bigint").alias("work_id"), "loaded_at", "removed_at", "letter_no", content().alias("content_hash"))
     ends = rows.groupBy("work_id").agg(F.min(F.struct("loaded_at", "content_hash", "letter_no")).alias("a"), F.max(F.struct("loaded_at", "content_hash", F.col("removed_at").isNull().alias("there"))).alias("b"))
     split = ends.filter("work_id IS NOT NULL")
     first_loaded, last_loaded = F.col("a.loaded_at"), F.col("b.loaded_at")
@@ -286,6 +298,12 @@ def snapshot_diff(p: WorksPlan) -> DataFrame:
     return delta.table_diff(*_versions(p), ["work_id"], "content_hash")
 
 
+@_query
+def snapshot_diff_full(p: WorksPlan) -> DataFrame:
+    """The same by all content fields."""
+    return delta.table_diff(*_versions(p, _all_fields), ["work_id"], "content_hash")
+
+
 @_query
 def snapshot_dedupe(p: WorksPlan) -> DataFrame:
     """Keys delivered once, again with the same content, or with another."""
@@ -293,8 +311,15 @@ def snapshot_dedupe(p: WorksPlan) -> DataFrame:
     return delta.dedupe_by_hash(rows, ["work_id"], F.coalesce(F.col("recommended_amount"), F.lit("<NULL>")))
 
 
-def _changed(p: WorksPlan) -> DataFrame:
-    return delta.table_diff(*_versions(p), ["work_id"], "content_hash").filter("op IN ('append', 'update')").select("work_id")
+@_query
+def snapshot_dedupe_full(p: WorksPlan) -> DataFrame:
+    """The same by all content fields."""
+    rows = p.table("works_recommended").withColumn("work_id", works.whole_number(F.col("work_recommendation_dtl_id")).cast("bigint"))
+    return delta.dedupe_by_hash(rows, ["work_id"], _all_fields())
+
+
+def _changed(p: WorksPlan, content: Callable[[], Column] = _four_fields) -> DataFrame:
+    return delta.table_diff(*_versions(p, content), ["work_id"], "content_hash").filter("op IN ('append', 'update')").select("work_id")
 
 
 @_query
@@ -303,12 +328,24 @@ def affected_entities(p: WorksPlan) -> DataFrame:
     return delta.affected_entities(p.measured, _changed(p))
 
 
+@_query
+def affected_entities_full(p: WorksPlan) -> DataFrame:
+    """The same by all content fields."""
+    return delta.affected_entities(p.measured, _changed(p, _all_fields))
+
+
 @_query
 def affected_works(p: WorksPlan) -> DataFrame:
     """Works that share an activity with a changed one."""
     return delta.affected_peers(p.measured, _changed(p))
 
 
+@_query
+def affected_works_full(p: WorksPlan) -> DataFrame:
+    """The same by all content fields."""
+    return delta.affected_peers(p.measured, _changed(p, _all_fields))
+
+
 @_query
 def time_sensitive(p: WorksPlan) -> DataFrame:
     """Works whose measures change with the day."""
@@ -330,6 +367,13 @@ def ml_carryover(p: WorksPlan) -> DataFrame:
     return delta.carry_over(new, old, "work_id", "content_hash", ["letter_no"]).select("work_id", "letter_no", "carry_state")
 
 
+@_query
+def ml_carryover_full(p: WorksPlan) -> DataFrame:
+    """The same by all content fields."""
+    old, new = _versions(p, _all_fields)
+    return delta.carry_over(new, old, "work_id", "content_hash", ["letter_no"]).select("work_id", "letter_no", "carry_state")
+
+
 @_query
 def audit_duplicates(p: WorksPlan) -> DataFrame:
     """Repeated keys of the source tables."""
