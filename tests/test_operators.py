@@ -101,6 +101,16 @@ def test_kmeans_invariants(spark):
     assert {r.cluster_label for r in few} == {"insufficient"}
 
 
+def test_kmeans_is_fitted_from_ten_seeds(spark, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+
+    fitted, fit = [], KMeans.fit
+    monkeypatch.setattr(KMeans, "fit", lambda self, df: fitted.append((self.getK(), self.getSeed())) or fit(self, df))
+    df = spark.createDataFrame([(i, 10.0 * (i % 2) + i * 0.001) for i in range(10)], "id int, x double").withColumn("y", F.col("x"))
+    profiling.kmeans_profiles(df, ["id"], ["x", "y"])
+    assert sorted(fitted) == [(2, s) for s in range(42, 52)]
+
+
 def test_delta(spark):
     table = lambda rows: spark.createDataFrame(rows, "k int, h string, v int")
     old, new = table([(1, "a", 1), (2, "b", 2), (3, None, 3)]), table([(1, "a", 5), (2, "x", 6), (3, None, 7), (4, "n", 8)])

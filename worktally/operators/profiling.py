@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KS, SEEDS, MEMBER_CLUSTER, STATE_CLUSTER = range(2, 7), range(42, 45), 5, 3
+KS, SEEDS, MEMBER_CLUSTER, STATE_CLUSTER = range(2, 7), range(42, 52), 5, 3
 
 
 def member_features(members: DataFrame) -> DataFrame:
