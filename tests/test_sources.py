@@ -119,3 +119,9 @@ def test_pipeline_sees_a_new_member_and_a_moved_payment(spark, sf_small, tmp_pat
     assert pipeline.run(spark, folder, out).changed
     assert result("fiscal_metrics").filter("fy_start = 2001 AND expenditure_count = 1").count() == 1
     assert not pipeline.run(spark, folder, out).changed
+
+
+def test_pipeline_has_the_intelligence_and_evidence_results(spark, sf_small):
+    tables = pipeline.results(WorksPlan(spark, sf_small))
+    for name in ("isolation_scores", "entity_risk", "member_profiles", "member_evidence", "state_evidence", "peer_ranks", "state_work_references"):
+        assert tables[name].limit(1).count() == 1

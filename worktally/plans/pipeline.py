@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from worktally.operators import anomaly, delta, evidence, metrics, ranking
+from worktally.plans import works_queries
 from worktally.plans.works_plan import WorksPlan
 from worktally.sources.versioned import VersionedTable
 
@@ -23,8 +24,9 @@ class RunReport:
 
 
 def results(plan: WorksPlan) -> dict[str, DataFrame]:
-    """The result tables, each built when written."""
+    """The result tables, each built when written (the members' profiles, whose number of clusters is fitted, at once)."""
     member, state = ["member_type", "member_id"], ["state_id"]
+    query = lambda name: works_queries.build(name, plan)
     return {
         "works": plan.flagged,
         "member_metrics": plan.members,
@@ -39,6 +41,13 @@ def results(plan: WorksPlan) -> dict[str, DataFrame]:
         "member_anomalies": anomaly.entity_anomalies(plan.members, anomaly.MEMBER_FEATURES, member, ["member_type"]),
         "state_anomalies": anomaly.entity_anomalies(plan.states, anomaly.STATE_FEATURES, state, []),
         "work_references": evidence.work_references(plan.flagged, member),
+        "state_work_references": query("state_work_refs"),
+        "isolation_scores": query("isolation_forest"),
+        "entity_risk": query("entity_risk"),
+        "member_profiles": query("kmeans_profile"),
+        "member_evidence": query("member_evidence"),
+        "state_evidence": query("state_evidence"),
+        "peer_ranks": query("peer_rank"),
     }
 
 

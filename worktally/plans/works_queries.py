@@ -13,9 +13,16 @@ from worktally.operators.snapshot_changes import PUBLIC_WORKS, content_hash
 from worktally.plans.works_plan import WorksPlan
 
 QUERIES: dict = {}
+_BUILDERS: dict = {}
+
+
+def build(name: str, plan: WorksPlan) -> DataFrame:
+    """The result of a query over the stages a plan has already built."""
+    return _BUILDERS[name](plan)
 
 
 def _query(f):
+    _BUILDERS[f.__name__] = f
     QUERIES[f.__name__] = lambda spark, sf_dir: f(WorksPlan(spark, sf_dir))
     QUERIES[f.__name__].__doc__ = f.__doc__
     return f
