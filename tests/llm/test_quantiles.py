@@ -7,6 +7,7 @@ import pytest
 pytest.importorskip("worktally.llm.quantiles")
 from pyspark.sql import functions as F
 
+from worktally.llm import quantiles
 from worktally.llm.quantiles import BITS, code_of, compress, daily_digests, merge_digests, percentiles, value_of
 
 FRACTIONS = {"p01": 0.01, "p50": 0.5, "p99": 0.99}
@@ -66,6 +67,7 @@ def test_days_combine_to_the_whole(spark):
             assert (r.n, r.max_rank_error) == (len(own), 0)
             for name, f in FRACTIONS.items():
                 assert r[name] == pytest.approx(own[max(1, int(np.ceil(f * len(own)))) - 1])
+    # Digests of days that are merged in two steps, or stored and added later, give the same counts.
     half = digests.filter("day < '2026-08-03'")
     both = merge_digests(half.unionByName(digests.filter("day >= '2026-08-03'")).select("state_id", "field_name", "node", "n"), ["state_id", "field_name"])
     assert both.agg(F.sum("n")).first()[0] == digests.agg(F.sum("n")).first()[0]
@@ -75,3 +77,36 @@ def test_empty_table(spark):
     empty = _works(spark, [])
     measures = {"sanction_amount": 2}
     assert percentiles(daily_digests(empty, "state_id", measures, "work_id", "last_calculated"), "state_id", measures, FRACTIONS).count() == 0
+
+
+def test_a_hot_state_over_many_days_keeps_the_bound(spark):
+    """200 days, of which one state holds a third of the values, with n over k: the tree merges 64 days at a time."""
+    n, k = 60_000, 512
+    rows = spark.range(n).select(
+        F.col("id").alias("work_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise((F.col("id") % 23).cast("int")).alias("state_id"),
+        F.pmod(F.xxhash64("id"), F.lit(1_000_000)).cast("int").alias("execution_days"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(200)) * 86_400).alias("last_calculated"),
+    )
+    digests = daily_digests(rows, "state_id", {"execution_days": 0}, "work_id", "last_calculated", k)
+    got = {r.state_id: r for r in percentiles(digests, "state_id", {"execution_days": 0}, FRACTIONS, k).collect()}
+    own = {}
+    for r in rows.select("state_id", "execution_days").collect():
+        own.setdefault(r.state_id, []).append(r.execution_days)
+    assert set(got) == set(own) and got[7].max_rank_error == BITS * (len(own[7]) // k) > 0
+    for s, values in own.items():
+        values = np.sort(values)
+        assert got[s].n == len(values)
+        for name, f in FRACTIONS.items():
+            target = max(1, int(np.ceil(f * len(values))))
+            low, high = np.searchsorted(values, got[s][name], "left"), np.searchsorted(values, got[s][name], "right")
+            assert low - got[s].max_rank_error <= target <= high + got[s].max_rank_error
+
+
+def test_no_task_merges_more_than_the_fan_in(spark, monkeypatch):
+    seen = []
+    real = quantiles._squeezed
+    monkeypatch.setattr(quantiles, "_squeezed", lambda parts, keys, k: (seen.append(parts.groupBy(*keys).agg(F.countDistinct("day").alias("d")).agg(F.max("d")).first()[0]) if "day" in parts.columns else None, real(parts, keys, k))[1])
+    days = spark.range(300).select(F.expr("date_add(date'2020-01-01', int(id))").alias("day"), F.lit(1).alias("state_id"), (F.col("id") + (1 << BITS)).alias("node"), F.lit(1).cast("bigint").alias("n"))
+    merged = quantiles.merge_days(days, ["state_id"])
+    assert merged.agg(F.sum("n")).first()[0] == 300 and seen[0] <= quantiles.FAN_IN

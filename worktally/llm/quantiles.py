@@ -129,8 +129,11 @@ def _schema(df: DataFrame, keys: list[str]) -> T.StructType:
     return T.StructType([*fields, T.StructField("node", T.LongType()), T.StructField("n", T.LongType())])
 
 
-def build_digests(codes: DataFrame, keys: list[str], k: int = K) -> DataFrame:
-    """(keys, node, n): the digest of the codes of each group; ``codes`` has the keys and ``code``."""
+def build_digests(codes: DataFrame, keys: list[str], k: int = K, n_parts: int | None = None) -> DataFrame:
+    """(keys, node, n): the digest of the codes of each group; ``codes`` has the keys and ``code``.
+
+    ``n_parts`` bounds the number of tasks that read ``codes``; where it isn't known the rows are spread over as many as a shuffle has.
+    """
     schema = _schema(codes, keys)
     names = [*keys, "node", "n"]
 
@@ -152,18 +155,36 @@ def build_digests(codes: DataFrame, keys: list[str], k: int = K) -> DataFrame:
         if held:
             yield _compress_frame(pd.concat(held, ignore_index=True), keys, k)[names]
 
-    parts = codes.select(*keys, "code").mapInPandas(run, schema)
-    return merge_digests(parts.withColumn("part", F.spark_partition_id()), keys, k, shuffle_width(codes.sparkSession))
+    # A task hands on a digest of its own, so there are at most as many parts of a key as there are tasks.
+    width = shuffle_width(codes.sparkSession)
+    tasks = codes.select(*keys, "code") if n_parts else codes.select(*keys, "code").repartition(width)
+    n_parts = n_parts or width
+    return merge_digests(tasks.mapInPandas(run, schema).withColumn("part", F.spark_partition_id()), keys, k, n_parts)
 
 
-def merge_digests(parts: DataFrame, keys: list[str], k: int = K, n_parts: int = 1) -> DataFrame:
-    """(keys, node, n): the digests of equal keys merged by node addition, at most FAN_IN of them at a time."""
-    if "part" not in parts.columns:
-        parts, n_parts = parts.withColumn("part", F.lit(0)), 1
+def merge_digests(parts: DataFrame, keys: list[str], k: int = K, n_parts: int | None = None) -> DataFrame:
+    """(keys, node, n): the digests of equal keys merged by node addition in a tree: no task reads more than FAN_IN digests of one key.
+
+    ``part`` numbers the digests of a key from 0, and ``n_parts`` bounds the numbers; without it they are one digest.
+    """
+    if n_parts is None or "part" not in parts.columns:
+        return _squeezed(parts.select(*keys, "node", "n"), keys, k)
     while n_parts > FAN_IN:
         n_parts = -(-n_parts // FAN_IN)
         parts = _squeezed(parts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")), [*keys, "part"], k)
-    return _squeezed(parts, keys, k)
+    return _squeezed(parts.select(*keys, "node", "n"), keys, k)
+
+
+def merge_days(digests: DataFrame, keys: list[str], day: str = "day", k: int = K) -> DataFrame:
+    """(keys, node, n): the stored digests of all days of each key in one; days are merged FAN_IN at a time, by their number.
+
+    Days without a date are one part of their own.
+    """
+    number = F.coalesce(F.datediff(F.col(day), F.lit("1970-01-01").cast("date")), F.lit(-1))
+    first, last = digests.agg(F.min(number), F.max(number)).first()
+    if first is None:
+        return merge_digests(digests, keys, k)
+    return merge_digests(digests.withColumn("part", (number - F.lit(first)).cast("int")), keys, k, last - first + 1)
 
 
 def _squeezed(parts: DataFrame, keys: list[str], k: int) -> DataFrame:
@@ -208,10 +229,10 @@ def read_percentiles(digests: DataFrame, keys: list[str], fractions: list[float]
 
 
 def first_rows(df: DataFrame, id_col: str, time_col: str, columns: list[str]) -> DataFrame:
-    """One row for each id, the earliest; rows without an id are all kept."""
+    """One row for each id, the earliest; rows without an id are all kept, each under a number of its own, so that they don't meet in one task."""
     row = F.struct(F.coalesce(F.col(time_col), F.lit("1970-01-01").cast("timestamp")).alias("t"), *[F.col(c) for c in columns])
-    kept = df.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(row).alias("r")).select("r.*")
-    return kept.unionByName(df.filter(F.col(id_col).isNull()).select(row.alias("r")).select("r.*"))
+    own = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
+    return df.select(F.col(id_col).alias("_id"), own.alias("_own"), row.alias("r")).groupBy("_id", "_own").agg(F.min("r").alias("r")).select("r.*")
 
 
 def daily_digests(df: DataFrame, group: str, measures: dict[str, int], id_col: str, time_col: str, k: int = K) -> DataFrame:
@@ -222,15 +243,14 @@ def daily_digests(df: DataFrame, group: str, measures: dict[str, int], id_col: s
     rows = first_rows(df, id_col, time_col, [group, *measures])
     entries = F.array(*[F.struct(F.lit(m).alias("field_name"), code_of(F.col(m), d).alias("code")) for m, d in measures.items()])
     codes = rows.select(F.to_date("t").alias("day"), group, F.explode(entries).alias("e")).select("day", group, "e.field_name", "e.code").filter("code IS NOT NULL")
-    return build_digests(codes, ["day", group, "field_name"], k)
+    # The rows come out of one shuffle.
+    return build_digests(codes, ["day", group, "field_name"], k, shuffle_width(df.sparkSession))
 
 
 def percentiles(digests: DataFrame, group: str, measures: dict[str, int], fractions: dict[str, float], k: int = K) -> DataFrame:
-    """(group, field_name, n, max_rank_error, a column for each fraction) over all days of ``digests``."""
+    """(group, field_name, n, max_rank_error, a column for each fraction) over all days of ``digests`` (day, group, field_name, node, n)."""
     keys = [group, "field_name"]
-    # One digest a day: days are merged FAN_IN at a time.
-    merged = merge_digests(digests.select(*keys, "node", "n"), keys, k)
-    read = read_percentiles(merged, keys, list(fractions.values()), k)
+    read = read_percentiles(merge_days(digests, keys, k=k), keys, list(fractions.values()), k)
 
     def value(i: int) -> Column:
         out = F.lit(None).cast("double")
