@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,19 +23,38 @@ def build_session(app: str = "worktally", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # Checkpoints nobody can read any more are removed from the shared folder.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster without a shared folder for checkpoints."""
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names in spark.checkpoint.dir; set one only where unset."""
+    """Use the shared folder the cluster names in spark.checkpoint.dir; a folder of our own only where all runs in one process.
+
+    On a cluster a machine-local folder would be lost with its machine, so a cluster without the setting is an error.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
     folder = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="worktally-checkpoint-"))
+    if not folder:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that all machines share")
+        folder = tempfile.mkdtemp(prefix="worktally-checkpoint-")
+    sc.setCheckpointDir(folder)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let go of what is no longer referred to: checkpoints of earlier rounds, their files and the memory of their plans."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def cut(df: DataFrame) -> DataFrame:
