@@ -90,15 +90,22 @@ def test_isolation_forest_finds_the_outlier_whatever_the_partitions(spark):
     assert isolation.isolation_scores(df.limit(10), features=("a", "b", "c")).count() == 0
 
 
-def test_kmeans_invariants(spark):
-    rows = [("MP", i, 10.0 * (i % 3) + i * 0.001, 1.0, 0.0, 0.0, 1.0) for i in range(45)]
-    df = spark.createDataFrame(rows, "member_type string, member_id int, utilization double, completion double, delay double, health double, size double")
-    got = profiling.kmeans_profiles(df, ["member_type", "member_id"], ["utilization", "completion", "delay", "health", "size"]).collect()
+def test_kmeans_invariants(spark, monkeypatch):
+    monkeypatch.setattr(profiling, "SEEDS", range(42, 44))
+    monkeypatch.setattr(profiling, "KS", range(2, 5))
+    keys = ["member_type", "member_id"]
+    rows = [("MP", i, 10.0 * (i % 3) + i * 0.001, 1.0, 0.0, 0.0, 1.0) for i in range(45)] + [("MP", 100, 500.0, 90.0, 0.0, 0.0, 1.0)]
+    df = spark.createDataFrame(rows, f"member_type string, member_id int, {', '.join(f'{c} double' for c in profiling.MEMBER_PROFILE)}")
+    got = profiling.kmeans_profiles(df.filter("member_id < 100"), keys, profiling.MEMBER_PROFILE).collect()
     clusters = {r.member_id: r.cluster_id for r in got}
     assert len(clusters) == 45 and len(set(clusters.values())) == 3
     assert all(clusters[i] == clusters[i % 3] for i in range(45))
-    few = profiling.kmeans_profiles(df.limit(4), ["member_type", "member_id"], ["utilization", "completion", "delay", "health", "size"]).collect()
-    assert {r.cluster_label for r in few} == {"insufficient"}
+    assert {r.cluster_size for r in got} == {15} and {r.cluster_label for r in got} == {"Low Financial Eff. / High Implementation Eff.", "Mid Financial Eff. / High Implementation Eff.", "High Financial Eff. / High Implementation Eff."}
+    # A cluster of one keeps its number and is "insufficient".
+    odd = {r.member_id: r for r in profiling.kmeans_profiles(df, keys, profiling.MEMBER_PROFILE).collect()}
+    assert (odd[100].cluster_label, odd[100].cluster_size) == ("insufficient", 0) and odd[100].cluster_id >= 0
+    few = profiling.kmeans_profiles(df.limit(2), keys, profiling.MEMBER_PROFILE).collect()
+    assert {(r.cluster_id, r.cluster_label) for r in few} == {(-1, "insufficient")}
 
 
 def test_kmeans_is_fitted_from_ten_seeds(spark, monkeypatch):
@@ -106,8 +113,9 @@ def test_kmeans_is_fitted_from_ten_seeds(spark, monkeypatch):
 
     fitted, fit = [], KMeans.fit
     monkeypatch.setattr(KMeans, "fit", lambda self, df: fitted.append((self.getK(), self.getSeed())) or fit(self, df))
-    df = spark.createDataFrame([(i, 10.0 * (i % 2) + i * 0.001) for i in range(10)], "id int, x double").withColumn("y", F.col("x"))
-    profiling.kmeans_profiles(df, ["id"], ["x", "y"])
+    monkeypatch.setattr(profiling, "KS", range(2, 3))
+    df = spark.createDataFrame([(i, *[10.0 * (i % 2) + i * 0.001] * 5) for i in range(10)], f"id int, {', '.join(f'{c} double' for c in profiling.MEMBER_PROFILE)}")
+    profiling.kmeans_profiles(df, ["id"], profiling.MEMBER_PROFILE)
     assert sorted(fitted) == [(2, s) for s in range(42, 52)]
 
 
@@ -127,8 +135,9 @@ def test_delta(spark):
 
 def test_evidence(spark):
     df = spark.createDataFrame([("MP", 1, 5, None), ("MP", 2, 6, 1.5)], "member_type string, member_id int, n int, x double")
-    a = evidence.evidence_records(df, ["member_type", "member_id"], {"s": ["n", "x"]})
-    b = evidence.evidence_records(df.repartition(3).select("x", "n", "member_id", "member_type"), ["member_type", "member_id"], {"s": ["x", "n"]})
+    section = lambda rows: rows.select("member_type", "member_id", F.struct("n", "x").alias("s"), F.struct("n").alias("a"))
+    a = evidence.evidence_records(section(df), ["member_type", "member_id"])
+    b = evidence.evidence_records(section(df.repartition(3)).select("s", "a", "member_id", "member_type"), ["member_type", "member_id"])
     assert sorted(r.evidence_hash for r in a.collect()) == sorted(r.evidence_hash for r in b.collect())
     assert '"x":null' in a.filter("member_id = 1").first().evidence_json
     keys = ["member_type", "member_id"]

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from worktally.functions.measures import parse_amount, parse_date
 from worktally.functions.text import whole_number
+from worktally.operators import profiling
 from worktally.plans import pipeline
 from worktally.plans.works_plan import WorksPlan
 from worktally.sources import files, ndjson
@@ -83,13 +84,48 @@ def test_stream_of_upserts(spark, tmp_path):
     assert deliver("b.json", [(2, 9), (3, 3)]) == [(1, 1), (2, 9), (3, 3)]
 
 
-def test_pipeline_ends_early_without_changes(spark, sf_small, tmp_path):
+@pytest.fixture
+def few_fits(monkeypatch):
+    """One fit of two clusters: what the profiles are is tested elsewhere."""
+    monkeypatch.setattr(profiling, "SEEDS", range(42, 43))
+    monkeypatch.setattr(profiling, "KS", range(2, 3))
+
+
+def test_pointers_move_and_failed_snapshots_go(spark, tmp_path):
+    root = str(tmp_path)
+    for name in ("s1", "s2", "s3"):
+        ndjson.complete_snapshot(spark, f"{root}/{name}", [])
+    (tmp_path / "s4").mkdir()
+    assert ndjson.promote(spark, root, "s1") == (None, "s1") and ndjson.promote(spark, root, "s2") == ("s1", "s2") and ndjson.promote(spark, root, "s2") == ("s1", "s2")
+    with pytest.raises(ndjson.BrokenSnapshot):
+        ndjson.promote(spark, root, "s4")
+    assert ndjson.remove_failed_snapshot(spark, root, "s4") and not ndjson.remove_failed_snapshot(spark, root, "s3") and not ndjson.remove_failed_snapshot(spark, root, "s9")
+    assert ndjson.remove_old_snapshots(spark, root, 1) == [] and ndjson.pointers(spark, root) == {"previous": "s1", "current": "s2"}
+
+
+def test_deltas_carry_their_table_and_kind(spark, tmp_path):
+    for name, text in (("works_recommended/append_part_0001.ndjson", '{"A": 1}\n\nbroken\n'), ("mla_expenditure/update_part_0001.ndjson", '{"A": "x"}\n'), ("mps/other.ndjson", '{"A": 2}\n')):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    assert sorted(tuple(r) for r in ndjson.scan_delta(spark, str(tmp_path), ["A"]).collect()) == [("mla_expenditure", "update", "x"), ("works_recommended", "append", "1")]
+    assert ndjson.scan_delta(spark, str(tmp_path / "none"), ["A"]).count() == 0
+    assert ndjson.load_all(spark, str(tmp_path), {"mps": ["A"], "gone": ["B"]})["gone"].count() == 0
+
+
+def test_a_table_of_zeros_is_not_written(spark, tmp_path):
+    table = VersionedTable(spark, f"{tmp_path}/t")
+    rows = spark.createDataFrame([(0, None), (0, 0)], "n int, m int")
+    assert table.write_unless_empty(rows, ["n", "m"]) is None and table.current is None
+    assert table.write_unless_empty(rows.union(spark.createDataFrame([(0, 4)], "n int, m int")), ["n", "m"]) == "v000001"
+
+
+def test_pipeline_ends_early_without_changes(spark, sf_small, tmp_path, few_fits):
     first = pipeline.run(spark, sf_small, str(tmp_path))
     assert first.changed and VersionedTable(spark, f"{tmp_path}/member_ranks").read().count() > 0
     assert not pipeline.run(spark, sf_small, str(tmp_path)).changed
 
 
-def test_pipeline_sees_a_new_member_and_a_moved_payment(spark, sf_small, tmp_path):
+def test_pipeline_sees_a_new_member_and_a_moved_payment(spark, sf_small, tmp_path, few_fits):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     shutil.copytree(sf_small, folder)
     os.chmod(folder, 0o755)
@@ -121,7 +157,7 @@ def test_pipeline_sees_a_new_member_and_a_moved_payment(spark, sf_small, tmp_pat
     assert not pipeline.run(spark, folder, out).changed
 
 
-def test_pipeline_has_the_intelligence_and_evidence_results(spark, sf_small):
+def test_pipeline_has_the_intelligence_and_evidence_results(spark, sf_small, few_fits):
     tables = pipeline.results(WorksPlan(spark, sf_small))
     for name in ("isolation_scores", "entity_risk", "member_profiles", "member_evidence", "state_evidence", "peer_ranks", "state_work_references"):
         assert tables[name].limit(1).count() == 1

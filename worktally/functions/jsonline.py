@@ -11,7 +11,16 @@ def listed_object(raw: Column, fields: list[str]) -> Column:
 
     The result is null or has another size than one where the line isn't one JSON object.
     """
-    schema = "array<struct<" + ",".join(f"`{f}`:string" for f in fields) + ">>"
+    return _listed(raw, "array<struct<" + ",".join(f"`{f}`:string" for f in fields) + ">>")
+
+
+def is_object(raw: Column) -> Column:
+    """Whether a text is one JSON object and nothing else."""
+    listed = _listed(raw, "array<map<string,string>>")
+    return F.coalesce((F.size(listed) == 1) & listed[0].isNotNull(), F.lit(False))
+
+
+def _listed(raw: Column, schema: str) -> Column:
     options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "mode": "PERMISSIVE"}
     trimmed = F.regexp_replace(raw, r"^[\s\x{FEFF}]+|\s+$", "")
     whole = trimmed.startswith("{") & trimmed.endswith("}")

@@ -78,9 +78,10 @@ def _status(column: str, high: str, low: str) -> Column:
     return F.when(F.col("benchmark_sample_size") < LIMITED, "NO_RELIABLE_BENCHMARK").when((F.col("status") != "Completed") | F.col(column).isNull(), "NOT_APPLICABLE").otherwise(plain)
 
 
-def delay_distribution(works: DataFrame) -> DataFrame:
+def delay_distribution(works: DataFrame, accuracy: int | None = None) -> DataFrame:
     """One row: delay_p75, delay_p90, delay_p95 of the sanction delays from zero on, and duration_p90 of all execution times."""
     delay = F.when(F.col("sanction_delay_days") >= 0, F.col("sanction_delay_days").cast("double"))
-    out = works.agg(F.percentile(delay, F.array(F.lit(0.75), F.lit(0.90), F.lit(0.95))).alias("p"), F.percentile(F.col("execution_days").cast("double"), F.lit(0.90)).alias("duration_p90"))
+    at = lambda x, fractions: F.percentile_approx(x, fractions, F.lit(accuracy)) if accuracy else F.percentile(x, fractions)
+    out = works.agg(at(delay, F.array(F.lit(0.75), F.lit(0.90), F.lit(0.95))).alias("p"), at(F.col("execution_days").cast("double"), F.lit(0.90)).alias("duration_p90"))
     r = lambda c: round_to(c, 4)
     return out.select(r(F.col("p")[0]).alias("delay_p75"), r(F.col("p")[1]).alias("delay_p90"), r(F.col("p")[2]).alias("delay_p95"), r(F.col("duration_p90")).alias("duration_p90"))

@@ -27,11 +27,12 @@ def _mean(x: str, name: str) -> Column:
     return round_to(F.sum(v).cast("double") / F.count(v)).alias(name)
 
 
-def _median(x: str, name: str) -> Column:
-    return round_to(F.percentile(F.expr(x).cast("double"), F.lit(0.5))).alias(name)
+def _median(x: str, name: str, accuracy: int | None = None) -> Column:
+    v = F.expr(x).cast("double")
+    return round_to(F.percentile_approx(v, F.lit(0.5), F.lit(accuracy)) if accuracy else F.percentile(v, F.lit(0.5))).alias(name)
 
 
-def _shared() -> list[Column]:
+def _shared(accuracy: int | None = None) -> list[Column]:
     return [
         F.count("*").alias("total_works"),
         _n("status = 'Recommended'", "recommended_works"),
@@ -43,9 +44,9 @@ def _shared() -> list[Column]:
         _total("expenditure_amount", "expenditure_amount"),
         _total("completion_amount", "completion_amount"),
         _mean("sanction_delay_days", "avg_sanction_delay_days"),
-        _median("sanction_delay_days", "median_sanction_delay_days"),
+        _median("sanction_delay_days", "median_sanction_delay_days", accuracy),
         _mean("execution_days", "avg_execution_days"),
-        _median("execution_days", "median_execution_days"),
+        _median("execution_days", "median_execution_days", accuracy),
         _n("flag_count >= 1", "flagged_works"),
         _n("risk_level = 'HIGH'", "high_risk_works"),
         _n("project_age_days > 365 AND status <> 'Completed'", "overdue_over_1_year"),
@@ -56,7 +57,7 @@ def _shared() -> list[Column]:
         _n("recommended_amount > 0 AND expenditure_amount > recommended_amount", "expenditure_over_recommendation_works"),
         _n("sanction_delay_days < 0", "negative_sanction_delay_works"),
         _mean("CASE WHEN sanction_amount > 0 THEN sanction_amount END", "avg_work_cost"),
-        _median("CASE WHEN sanction_amount > 0 THEN sanction_amount END", "median_work_cost"),
+        _median("CASE WHEN sanction_amount > 0 THEN sanction_amount END", "median_work_cost", accuracy),
     ]
 
 
@@ -78,10 +79,13 @@ def _with_rates(df: DataFrame) -> DataFrame:
     )
 
 
-def member_metrics(works: DataFrame) -> DataFrame:
-    """One row for each (member_type, member_id); the state is that of the member's first work that has one."""
+def member_metrics(works: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """One row for each (member_type, member_id); the state is that of the member's first work that has one.
+
+    Medians are exact and interpolated; with ``accuracy`` they are off by at most a share of 1 / accuracy of the ranks, in bounded memory.
+    """
     grouped = works.groupBy("member_type", "member_id").agg(
-        *_shared(),
+        *_shared(accuracy),
         F.min_by("state_id", F.when(F.col("state_id").isNotNull(), F.col("work_id"))).alias("state_id"),
         _mean("project_age_days", "avg_project_age_days"),
         F.max("project_age_days").alias("max_project_age_days"),
@@ -99,13 +103,13 @@ def member_metrics(works: DataFrame) -> DataFrame:
     return _with_rates(grouped).withColumn("ranking_qualified", F.col("total_works") >= MEMBER_MINIMUM)
 
 
-def state_metrics(works: DataFrame) -> DataFrame:
-    """One row for each state; works without a state are left out."""
+def state_metrics(works: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """One row for each state; works without a state are left out. Medians as in ``member_metrics``."""
     members = lambda kind: F.countDistinct(F.when(F.col("member_type") == kind, F.col("member_id")))
     grouped = (
         works.filter("state_id IS NOT NULL")
         .groupBy("state_id")
-        .agg(*_shared(), F.countDistinct(F.struct("member_type", "member_id")).alias("active_members"), members("MP").alias("active_mps"), members("MLA").alias("active_mlas"))
+        .agg(*_shared(accuracy), F.countDistinct(F.struct("member_type", "member_id")).alias("active_members"), members("MP").alias("active_mps"), members("MLA").alias("active_mlas"))
     )
     qualified = (F.col("total_works") >= STATE_MINIMUM) & (F.col("active_members") >= STATE_MEMBERS)
     return _with_rates(grouped).withColumn("ranking_qualified", qualified)
@@ -195,8 +199,8 @@ def overall_metrics(members: DataFrame) -> DataFrame:
     return out.drop("costs")
 
 
-def category_metrics(works: DataFrame) -> DataFrame:
-    """Works by category, national and by state."""
+def category_metrics(works: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Works by category, national and by state. Medians as in ``member_metrics``."""
     keyed = works.withColumn("category", category_key(F.col("normalized_activity"), F.col("work_category")))
     priced = "CASE WHEN sanction_amount > 0 THEN sanction_amount END"
     grouped = keyed.groupingSets([["category", "state_id"], ["category"]], "category", "state_id").agg(
@@ -213,9 +217,9 @@ def category_metrics(works: DataFrame) -> DataFrame:
         _n("project_age_days > 365 AND status <> 'Completed'", "overdue_works"),
         _n("flag_count >= 1", "flagged_works"),
         _mean(priced, "avg_work_cost"),
-        _median(priced, "median_work_cost"),
+        _median(priced, "median_work_cost", accuracy),
         _mean("execution_days", "avg_execution_days"),
-        _median("execution_days", "median_execution_days"),
+        _median("execution_days", "median_execution_days", accuracy),
     )
     n = F.col("sample_size")
     return grouped.filter("g = 1 OR state_id IS NOT NULL").select(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from worktally.functions.jsonline import is_object
+
 
 def validate_json(df: DataFrame, text: str, required: list[str], allowed: list[str] | None = None, lists: dict[str, tuple[int, int]] | None = None, forbidden: list[str] | None = None) -> DataFrame:
     """``df`` with problems: an array of what is wrong with each text, empty if nothing is.
@@ -13,8 +15,7 @@ def validate_json(df: DataFrame, text: str, required: list[str], allowed: list[s
     and the largest length of a list; ``forbidden`` words count in any case.
     """
     keys = F.json_object_keys(F.col(text))
-    whole = F.from_json(F.col(text), "map<string,string>")
-    readable = whole.isNotNull() & keys.isNotNull()
+    readable = is_object(F.col(text)) & keys.isNotNull()
     found = [F.when(~F.array_contains(keys, k), F.lit(f"missing {k}")) for k in required]
     if allowed is not None:
         known = F.array(*[F.lit(k) for k in dict.fromkeys([*required, *allowed])])

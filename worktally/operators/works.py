@@ -26,12 +26,12 @@ def latest_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def payments_by_work(expenditure: DataFrame) -> DataFrame:
-    """(work_id, expenditure_amount, last_expenditure_date, n_payments): each payment once, positive amounts only."""
+    """(work_id, expenditure_amount, first_expenditure_date, last_expenditure_date, n_payments): each payment once, positive amounts only."""
     once = expenditure.groupBy("sno").agg(F.max(F.struct("work_recommendation_dtl_id", "fund_disbursed_amt", "expenditure_date")).alias("p"))
     typed = once.select(
         whole_number(F.col("p.work_recommendation_dtl_id")).cast("bigint").alias("work_id"), parse_amount(F.col("p.fund_disbursed_amt")).alias("amount"), parse_date(F.col("p.expenditure_date")).alias("day")
     )
-    return typed.filter("work_id IS NOT NULL").groupBy("work_id").agg(F.sum("amount").cast("decimal(18,2)").alias("expenditure_amount"), F.max("day").alias("last_expenditure_date"), F.count("*").alias("n_payments"))
+    return typed.filter("work_id IS NOT NULL").groupBy("work_id").agg(F.sum("amount").cast("decimal(18,2)").alias("expenditure_amount"), F.min("day").alias("first_expenditure_date"), F.max("day").alias("last_expenditure_date"), F.count("*").alias("n_payments"))
 
 
 def build_works(recommended: DataFrame, sanctioned: DataFrame, payments: DataFrame) -> DataFrame:

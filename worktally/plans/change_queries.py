@@ -91,11 +91,15 @@ def _key(name: str) -> str:
     return f"CASE WHEN regexp_full_match({x}, '[+-]?[0-9]+\\.0*') THEN regexp_replace({x}, '\\.0*$', '') ELSE {x} END"
 
 
-def _content(one: DatasetSpec) -> str:
+def _parts(one: DatasetSpec) -> list[str]:
     numbers = [f"COALESCE(CAST(TRY_CAST(replace({_field(f)}, ',', '') AS DECIMAL(38,10)) AS VARCHAR), {_field(f)})" for f in one.numbers]
     forms = ("%Y-%m-%d", "%d-%b-%Y", "%d-%m-%Y", "%b %d, %Y %I:%M:%S %p", "%b %d, %Y")
     dates = ["COALESCE(CAST(CAST(COALESCE(" + ", ".join(f"try_strptime({_field(f)}, '{x}')" for x in forms) + f") AS DATE) AS VARCHAR), {_field(f)})" for f in one.dates]
-    return "concat_ws('|', " + ", ".join(f"COALESCE({c}, '<NULL>')" for c in [*numbers, *dates, *[_field(f) for f in one.texts]]) + ")"
+    return [*numbers, *dates, *[_field(f) for f in one.texts]]
+
+
+def _content(one: DatasetSpec) -> str:
+    return "concat_ws('|', " + ", ".join(f"COALESCE({c}, '<NULL>')" for c in _parts(one)) + ")"
 
 
 _P3_LINES = " UNION ALL ".join(
@@ -115,8 +119,23 @@ FROM new_ n FULL JOIN old_ o ON n.dataset = o.dataset AND n.snapshot_no = o.snap
 WHERE o.identity IS NULL OR n.identity IS NULL OR n.content <> o.content
 """
 
+_P3_LISTS = " UNION ALL ".join(
+    f"SELECT dataset, snapshot_no, line_no, CAST(to_json([{', '.join(_key(f) for f in one.identity)}]) AS VARCHAR) AS identity, [{', '.join(_parts(one))}] AS content, [{', '.join(repr(f) for f in one.content)}] AS names FROM objects WHERE dataset = '{name}'" + "".join(f" AND {_key(f)} IS NOT NULL" for f in one.identity)
+    for name, one in PUBLIC_WORKS.datasets.items()
+)
+_P3_FIELDS = f"""
+WITH objects AS (SELECT dataset, snapshot_no, line_no, CAST(raw_json AS JSON) AS j FROM records WHERE raw_json IS NOT NULL AND json_valid(raw_json) AND json_type(raw_json) = 'OBJECT'),
+lines AS ({_P3_LISTS}),
+kept AS (SELECT dataset, snapshot_no, identity, arg_max(content, line_no) AS content, arg_max(names, line_no) AS names FROM lines GROUP BY ALL),
+steps AS (SELECT dataset, snapshot_no, lag(snapshot_no) OVER (PARTITION BY dataset ORDER BY snapshot_no) AS before FROM (SELECT DISTINCT dataset, snapshot_no FROM records)),
+both_ AS (SELECT s.dataset, s.snapshot_no, n.content AS a, o.content AS b, n.names AS names FROM steps s JOIN kept n ON n.dataset = s.dataset AND n.snapshot_no = s.snapshot_no JOIN kept o ON o.dataset = s.dataset AND o.snapshot_no = s.before AND o.identity = n.identity),
+cells AS (SELECT dataset, snapshot_no, unnest(names) AS field_name, unnest(a) AS a, unnest(b) AS b FROM both_)
+SELECT dataset, snapshot_no, field_name, count(*) AS n_records FROM cells WHERE a IS DISTINCT FROM b GROUP BY ALL
+"""
+
 ORACLES = {
     "p3_found": _P3,
+    "p3_changed_fields": _P3_FIELDS,
     "p4_found": _P4_CASES + "SELECT table_name, row_id, load_month, reason_code FROM found",
     "p4_report": _P4_CASES + "SELECT table_name, load_month, reason_code, count(*) AS n_references FROM found GROUP BY ALL",
 }

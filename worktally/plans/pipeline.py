@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worktally.operators import anomaly, delta, evidence, metrics, ranking
-from worktally.plans import works_queries
+from worktally.operators import delta, metrics
+from worktally.plans import record_queries, works_queries
 from worktally.plans.works_plan import WorksPlan
+from worktally.sources import files
 from worktally.sources.versioned import VersionedTable
 
 
@@ -23,32 +25,43 @@ class RunReport:
     versions: dict[str, str] = field(default_factory=dict)
 
 
+#: Result tables by the query that gives them.
+TABLES = {
+    "works": "work_record",
+    "member_metrics": "member_record",
+    "state_metrics": "state_record",
+    "member_ranks": "competition_rank",
+    "state_ranks": "state_rank",
+    "national_statistics": "national_statistics",
+    "overall_metrics": "overall_metrics",
+    "category_metrics": "category_metrics",
+    "fiscal_metrics": "fy_metrics",
+    "member_anomalies": "member_anomaly",
+    "member_anomaly_explanations": "anomaly_explanations",
+    "state_anomalies": "state_anomaly",
+    "work_references": "evidence_work_refs",
+    "state_work_references": "state_work_refs",
+    "isolation_scores": "isolation_forest",
+    "entity_risk": "entity_risk",
+    "state_risk": "state_risk",
+    "member_profiles": "kmeans_profile",
+    "state_profiles": "state_profile",
+    "peer_ranks": "peer_rank_profiles",
+    "member_evidence": "member_evidence_records",
+    "state_evidence": "state_evidence_records",
+}
+SOURCES = ("work_analysis", "expenditure", "mps", "mlas", "allocated_limit", "states")
+
+
 def results(plan: WorksPlan) -> dict[str, DataFrame]:
-    """The result tables, each built when written (the members' profiles, whose number of clusters is fitted, at once)."""
-    member, state = ["member_type", "member_id"], ["state_id"]
-    query = lambda name: works_queries.build(name, plan)
-    return {
-        "works": plan.flagged,
-        "member_metrics": plan.members,
-        "state_metrics": plan.states,
-        "member_ranks": ranking.ranked(plan.all_members, "member_id", ["member_type"], F.col("ranking_qualified")),
-        "state_ranks": ranking.ranked(plan.states, "state_id", [], F.col("total_works").isNotNull()),
-        "national_statistics": metrics.national_statistics(plan.members),
-        "trends": metrics.trends(plan.flagged),
-        "overall_metrics": metrics.overall_metrics(plan.all_members),
-        "category_metrics": metrics.category_metrics(plan.flagged),
-        "fiscal_metrics": metrics.fiscal_metrics(plan.measured, plan.payment_rows),
-        "member_anomalies": anomaly.entity_anomalies(plan.members, anomaly.MEMBER_FEATURES, member, ["member_type"]),
-        "state_anomalies": anomaly.entity_anomalies(plan.states, anomaly.STATE_FEATURES, state, []),
-        "work_references": evidence.work_references(plan.flagged, member),
-        "state_work_references": query("state_work_refs"),
-        "isolation_scores": query("isolation_forest"),
-        "entity_risk": query("entity_risk"),
-        "member_profiles": query("kmeans_profile"),
-        "member_evidence": query("member_evidence"),
-        "state_evidence": query("state_evidence"),
-        "peer_ranks": query("peer_rank"),
-    }
+    """The result tables, each built when written (profiles, whose number of clusters is fitted, at once)."""
+    built = {name: (works_queries if query in works_queries.QUERIES else record_queries).build(query, plan) for name, query in TABLES.items()}
+    return built | {"trends": metrics.trends(plan.flagged)}
+
+
+def files_seen(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of change of the source files, as one text: equal texts mean that no file changed."""
+    return json.dumps(sorted(entry for name in SOURCES for entry in files.listing(spark, f"{folder}/{name}.parquet")))
 
 
 def inputs_seen(plan: WorksPlan) -> DataFrame:
@@ -63,24 +76,32 @@ def inputs_seen(plan: WorksPlan) -> DataFrame:
 
     paid = ["work_id", "day", "amount"]
     payments = plan.payment_rows.groupBy(*paid).agg(F.count("*").alias("n"))
-    return one("works", plan.measured, ["work_id"]).unionByName(one("members", plan.master, ["member_type", "member_id"])).unionByName(one("payments", payments, paid))
+    limits = plan.table("allocated_limit")
+    return one("works", plan.measured, ["work_id"]).unionByName(one("limits", limits.groupBy(*limits.columns).agg(F.count("*").alias("n")), limits.columns)).unionByName(one("members", plan.master, ["member_type", "member_id"])).unionByName(one("payments", payments, paid))
 
 
 def run(spark: SparkSession, folder: str, out: str) -> RunReport:
     """Recompute all results of the tables in ``folder`` if a work, a member or a payment changed since the last run.
 
-    Global statistics are always taken over the full population; a run without changes ends early.
+    Global statistics are always taken over the full population. A run whose source files are those
+    of the last one ends before anything is read; one whose records are the same, after hashing them.
     """
     began = time.time()
+    seen, mark = files_seen(spark, folder), f"{out}/_files_seen.json"
+    if files.exists(spark, mark) and files.read_small(spark, mark) == seen:
+        return RunReport(False, {"gate": time.time() - began})
     plan = WorksPlan(spark, folder)
     state = VersionedTable(spark, f"{out}/_inputs_seen")
     now = inputs_seen(plan)
     if state.current is not None and delta.is_unchanged(delta.table_diff(state.read(), now, ["source", "record"], "content_hash")):
+        files.write_small(spark, mark, seen)
         return RunReport(False, {"gate": time.time() - began})
     report = RunReport(True, {"gate": time.time() - began})
+    plan.flagged  # noqa: B018 - written once, since nearly all results read it
     for name, df in results(plan).items():
         at = time.time()
         report.versions[name] = VersionedTable(spark, f"{out}/{name}").write(df)
         report.seconds[name] = time.time() - at
     state.write(now)
+    files.write_small(spark, mark, seen)
     return report

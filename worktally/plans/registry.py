@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from worktally.plans import change_queries, works_oracles, works_queries
+from worktally.plans import change_queries, record_oracles, record_queries, works_oracles, works_queries
 
-_QUERIES = [change_queries, works_queries]
-_ORACLES = [change_queries, works_oracles]
+_QUERIES = [change_queries, works_queries, record_queries]
+_ORACLES = [change_queries, works_oracles, record_oracles]
 
 #: The query of the smoke check.
 FLAGSHIP = "competition_rank"

@@ -2,10 +2,77 @@
 
 from __future__ import annotations
 
-from worktally.operators import anomaly, evidence, flags, metrics
 from worktally.plans.change_queries import _whole
 
 REF = "DATE '2026-09-30'"
+# The rules, features and metrics, written out here, so that a mistake in the engine's own tables shows.
+_FLAGS = {
+    "SOURCE_DATA_DEFECT_NEGATIVE_DELAY": "sanction_delay_days < 0",
+    "SANCTION_DELAY_VERY_HIGH": "sanction_delay_days > greatest(t.delay_p95, -1)",
+    "SANCTION_DELAY_HIGH": "sanction_delay_days >= 0 AND sanction_delay_days > t.delay_p90 AND sanction_delay_days <= t.delay_p95",
+    "SANCTION_DELAY_ELEVATED": "sanction_delay_days >= 0 AND sanction_delay_days > t.delay_p75 AND sanction_delay_days <= t.delay_p90",
+    "LONG_PENDING": "completion_date IS NULL AND pending_days > t.duration_p90",
+    "LOW_EXPENDITURE": "completion_date IS NULL AND pending_days > 180 AND sanction_amount > 0 AND expenditure_amount = 0",
+    "PAYMENT_STAGNATION": "completion_date IS NULL AND days_since_payment > 180",
+    "COST_ANOMALY": "cost_status = 'VERY_HIGH' OR cost_status = 'HIGH'",
+    "DURATION_ANOMALY": "completion_date IS NOT NULL AND (duration_status = 'VERY_LONG' OR duration_status = 'LONG')",
+    "OVER_EXPENDITURE": "sanction_amount > 0 AND expenditure_amount > 1.05 * sanction_amount",
+    "POST_COMPLETION_PAYMENT": "completion_date < last_expenditure_date",
+}
+_SIGNALS = {
+    "SANCTION_MATCHES_RECOMMENDATION": "sanction_amount > 0 AND recommended_amount = sanction_amount",
+    "RECENT_PAYMENT_ACTIVITY": "completion_date IS NULL AND days_since_payment <= 180",
+    "EXPENDITURE_ON_TRACK": "expenditure_percentage >= 75 AND expenditure_percentage <= 100",
+    "COMPLETION_RECORDED": "completion_date IS NOT NULL",
+    "COST_WITHIN_PEER_RANGE": "cost_status = 'NORMAL'",
+    "DURATION_WITHIN_PEER_RANGE": "duration_status = 'NORMAL'",
+}
+_PER_WORK = "CAST({0} AS DOUBLE) / CAST(total_works AS DOUBLE) * 100"
+# Feature, direction, value, what it says.
+_MEMBER_Z = [
+    ("avg_cost_percentile", "HIGH", "avg_cost_percentile", "Average cost percentile is substantially above the comparable entity median."),
+    ("avg_project_age_days", "BOTH", "avg_project_age_days", "Average project age deviates substantially from the comparable entity median."),
+    ("avg_sanction_delay_days", "HIGH", "avg_sanction_delay_days", "Average sanction delay is substantially above the comparable entity median."),
+    ("completion_rate_pct", "LOW", "completion_rate_pct", "Completion rate is substantially below the comparable entity median."),
+    ("cost_anomaly_rate", "HIGH", _PER_WORK.format("cost_anomaly_works"), "Rate of cost-anomalous works is substantially above the comparable entity median."),
+    ("duration_anomaly_rate", "HIGH", _PER_WORK.format("duration_anomaly_works"), "Rate of duration-anomalous works is substantially above the comparable entity median."),
+    ("expenditure_over_sanction_rate", "HIGH", _PER_WORK.format("expenditure_over_sanction_works"), "Rate of works exceeding sanctioned amount is substantially above the comparable entity median."),
+    ("expenditure_utilization_pct", "LOW", "expenditure_sanction_utilization_pct", "Expenditure utilization is substantially below the comparable entity median."),
+    ("flagged_rate_pct", "HIGH", "flagged_rate_pct", "Flagged-work rate is substantially above the comparable entity median."),
+    ("high_risk_rate_pct", "HIGH", "high_risk_rate_pct", "High-risk work rate is substantially above the comparable entity median."),
+    ("negative_delay_rate", "HIGH", _PER_WORK.format("negative_sanction_delay_works"), "Rate of works with negative sanction delay is substantially above the comparable entity median."),
+    ("overdue_rate", "HIGH", _PER_WORK.format("overdue_over_1_year"), "Rate of works overdue over 1 year is substantially above the comparable entity median."),
+]
+_STATE_Z = [
+    ("avg_sanction_delay", "HIGH", "avg_sanction_delay_days", ""),
+    ("completion_rate", "LOW", "completion_rate_pct", ""),
+    ("cost_anomaly_rate", "HIGH", _PER_WORK.format("cost_anomaly_works"), ""),
+    ("duration_anomaly_rate", "HIGH", _PER_WORK.format("duration_anomaly_works"), ""),
+    ("expenditure_utilization", "LOW", "expenditure_sanction_utilization_pct", ""),
+    ("overdue_rate", "HIGH", _PER_WORK.format("overdue_over_1_year"), ""),
+    ("risk_rate", "HIGH", "flagged_rate_pct", ""),
+]
+_FLAGGED = "(len(risk_flags) > 0 OR risk_level = 'HIGH')"
+_MEMBER_REFS = [
+    ("risk", _FLAGGED, "0", 5),
+    ("positive_signal", "completion_date IS NOT NULL AND expenditure_percentage >= 80", "0", 3),
+    ("representative", "sanction_amount > 0", "0 - sanction_amount", 3),
+    ("financial", "expenditure_amount > 0", "0 - expenditure_amount", 3),
+    ("execution", "sanction_delay_days > 0", "0 - sanction_delay_days", 3),
+]
+_STATE_REFS = [("risk", _FLAGGED, "0 - len(risk_flags)", 5), ("representative", "sanction_amount > 0", "0 - sanction_amount", 3)]
+# The 43 metrics of the national statistics: counts, amounts, days, shares.
+_COUNTED = (
+    "total_works recommended_works sanctioned_works completed_works ongoing_works pending_works flagged_works medium_risk_works high_risk_works cost_anomaly_works duration_anomaly_works "
+    "expenditure_over_sanction_works expenditure_over_recommendation_works negative_sanction_delay_works negative_execution_works completion_before_sanction_works expenditure_before_sanction_works "
+    "overdue_over_1_year overdue_over_2_years recommended_amount sanctioned_amount expenditure_amount completion_amount unspent_amount flagged_rate_pct high_risk_rate_pct completion_rate_pct "
+    "sanction_rate_pct sanction_conversion_pct expenditure_sanction_utilization_pct expenditure_recommendation_pct"
+).split()
+_AVERAGED = (
+    "avg_sanction_delay_days median_sanction_delay_days avg_execution_days median_execution_days avg_project_age_days max_project_age_days avg_pending_days max_pending_days "
+    "avg_cost_percentile avg_duration_percentile avg_cost_deviation_pct avg_duration_deviation_pct"
+).split()
+_METRICS = [*_COUNTED, *_AVERAGED]
 
 
 def _r(x: str, digits: int = 2) -> str:
@@ -148,14 +215,12 @@ _RATES = ", ".join(
 
 def _features(table: str, features: list[tuple], keys: str) -> str:
     parts = []
-    for name, direction, column, base in features:
-        v = f"CAST({column} AS DOUBLE)" + (f" / CAST({base} AS DOUBLE) * 100" if base else "")
-        guard = f" AND {base} <> 0" if base else ""
-        parts.append(f"SELECT {keys}, '{name}' AS feature, '{direction}' AS direction, {v} AS v FROM {table} WHERE ranking_qualified AND {column} IS NOT NULL{guard}")
+    for name, direction, value, says in features:
+        parts.append(f"SELECT {keys}, '{name}' AS feature, '{direction}' AS direction, '{says}' AS description, CAST({value} AS DOUBLE) AS v FROM {table} WHERE ranking_qualified AND ({value}) IS NOT NULL")
     return " UNION ALL ".join(parts)
 
 
-def _z_chain(prefix: str, table: str, features: list[tuple], keys: str, by: str) -> list[tuple[str, str]]:
+def _z_chain(prefix: str, table: str, features: list[tuple], keys: str, by: str, high: int, medium: int) -> list[tuple[str, str]]:
     """CTEs: values, centres, spreads, scores, composites and levels of a table's features."""
     z = "CASE WHEN mad = 0 THEN 0.0 ELSE greatest(least(0.6745 * (v - median) / mad, 5.0), -5.0) END"
     part = "CASE direction WHEN 'HIGH' THEN greatest(0.0, z) WHEN 'LOW' THEN greatest(0.0, -z) ELSE abs(z) END"
@@ -164,9 +229,9 @@ def _z_chain(prefix: str, table: str, features: list[tuple], keys: str, by: str)
         (f"{prefix}_centre", f"SELECT {by}, quantile_cont(v, 0.5) AS median FROM {prefix}_values GROUP BY {by} HAVING count(*) >= 5"),
         (f"{prefix}_spread", f"SELECT {by}, quantile_cont(abs(v - median), 0.5) AS mad FROM {prefix}_values JOIN {prefix}_centre USING ({by}) GROUP BY {by}"),
         (f"{prefix}_z", f"SELECT *, {z} AS z FROM {prefix}_values JOIN {prefix}_centre USING ({by}) JOIN {prefix}_spread USING ({by})"),
-        (f"{prefix}_composite", f"SELECT {keys}, COALESCE(c, 0.0) AS c FROM (SELECT {keys} FROM {table} WHERE ranking_qualified) LEFT JOIN (SELECT {keys}, avg({part}) AS c FROM {prefix}_z GROUP BY {keys}) USING ({keys})"),
+        (f"{prefix}_composite", f"SELECT {keys}, total_works, COALESCE(c, 0.0) AS c FROM (SELECT {keys}, total_works FROM {table} WHERE ranking_qualified) LEFT JOIN (SELECT {keys}, avg({part}) AS c FROM {prefix}_z GROUP BY {keys}) USING ({keys})"),
         (f"{prefix}_limits", f"SELECT quantile_cont(c, 0.95) AS high, quantile_cont(c, 0.8) AS medium FROM {prefix}_composite"),
-        (f"{prefix}_anomaly", f"SELECT {keys}, {_r('c', 4)} AS anomaly_score, CASE WHEN c > high THEN 'HIGH' WHEN c > medium THEN 'MEDIUM' ELSE 'NORMAL' END AS anomaly_level FROM {prefix}_composite, {prefix}_limits"),
+        (f"{prefix}_anomaly", f"SELECT {keys}, {_r('c', 4)} AS anomaly_score, CASE WHEN c > high THEN 'HIGH' WHEN c > medium THEN 'MEDIUM' ELSE 'NORMAL' END AS anomaly_level, CASE WHEN total_works >= {high} THEN 'HIGH' WHEN total_works >= {medium} THEN 'MEDIUM' ELSE 'LOW' END AS confidence_level FROM {prefix}_composite, {prefix}_limits"),
     ]
 
 
@@ -191,18 +256,19 @@ def _rank_chain(prefix: str, table: str, keys: str, part: str, qualified: str) -
 
 
 _HASHED = "sha256(concat_ws('|', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '<NULL>')" for c in ("recommended_amount", "sanction_amount", "work_stage", "sanction_date")) + "))"
-_IDLE = [c for c in metrics.STATISTICS if not c.startswith(("avg", "median", "max"))]
-_ALL_COLUMNS = ["member_type", "member_id", "ranking_qualified", *metrics.STATISTICS]
+_IDLE = _COUNTED
+_EXTRA = ["state_id", "avg_work_cost", "median_work_cost"]
+_ALL_COLUMNS = ["member_type", "member_id", "ranking_qualified", *_METRICS, *_EXTRA]
 
 CTES: list[tuple[str, str]] = [
     ("paid", f"SELECT {_whole('work_recommendation_dtl_id')} AS wid, {_amount('fund_disbursed_amt')} AS amount, {_date('expenditure_date')} AS day FROM (SELECT DISTINCT sno, work_recommendation_dtl_id, fund_disbursed_amt, expenditure_date FROM expenditure)"),
-    ("payments", "SELECT CAST(wid AS BIGINT) AS work_id, CAST(sum(amount) AS DECIMAL(18,2)) AS expenditure_amount, max(day) AS last_expenditure_date, count(*) AS n_payments FROM paid WHERE wid IS NOT NULL GROUP BY 1"),
+    ("payments", "SELECT CAST(wid AS BIGINT) AS work_id, CAST(sum(amount) AS DECIMAL(18,2)) AS expenditure_amount, min(day) AS first_expenditure_date, max(day) AS last_expenditure_date, count(*) AS n_payments FROM paid WHERE wid IS NOT NULL GROUP BY 1"),
     ("latest", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY work_id ORDER BY last_calculated DESC) AS rn FROM work_analysis WHERE work_id IS NOT NULL) WHERE rn = 1"),
     (
         "works",
         f"SELECT work_id, upper(replace(member_type, ' ', '')) AS member_type, member_id, state_id, {_activity('activity_name')} AS normalized_activity, work_category, recommendation_date, sanction_date, completion_date, "
         "CAST(CASE WHEN latest.recommended_amount > 0 THEN latest.recommended_amount ELSE 0 END AS DECIMAL(18,2)) AS recommended_amount, CAST(CASE WHEN sanction_amount > 0 THEN sanction_amount ELSE 0 END AS DECIMAL(18,2)) AS sanction_amount, "
-        "CASE WHEN completion_amount > 0 THEN completion_amount END AS completion_amount, payments.expenditure_amount AS expenditure_amount, last_expenditure_date FROM latest LEFT JOIN payments USING (work_id)",
+        "CASE WHEN completion_amount > 0 THEN completion_amount END AS completion_amount, payments.expenditure_amount AS expenditure_amount, first_expenditure_date, last_expenditure_date FROM latest LEFT JOIN payments USING (work_id)",
     ),
     ("dated", "SELECT *, CASE WHEN completion_date IS NOT NULL THEN 'Completed' WHEN sanction_date IS NOT NULL THEN 'In Progress' WHEN recommendation_date IS NOT NULL THEN 'Recommended' ELSE 'Unknown' END AS status FROM works"),
     (
@@ -237,7 +303,7 @@ CTES: list[tuple[str, str]] = [
         "t",
         ", ".join(f"{_r(f'p[{i + 1}]', 4)} AS delay_p{q}" for i, q in enumerate((75, 90, 95))).join(["SELECT ", f", {_r('d', 4)} AS duration_p90 FROM (SELECT quantile_cont(CAST(sanction_delay_days AS DOUBLE), [0.75, 0.9, 0.95]) FILTER (WHERE sanction_delay_days >= 0) AS p, quantile_cont(CAST(execution_days AS DOUBLE), 0.9) AS d FROM measured)"]),
     ),
-    ("raised", f"SELECT benchmarked.*, {_listed(flags.RULES)} AS risk_flags, {_listed(flags.SIGNALS)} AS positive_signals FROM benchmarked, t"),
+    ("raised", f"SELECT benchmarked.*, {_listed(_FLAGS)} AS risk_flags, {_listed(_SIGNALS)} AS positive_signals FROM benchmarked, t"),
     (
         "flagged",
         "SELECT *, len(risk_flags) AS flag_count, CASE WHEN list_contains(risk_flags, 'OVER_EXPENDITURE') OR k >= 3 THEN 'HIGH' WHEN k = 2 THEN 'MEDIUM' WHEN k = 1 THEN 'LOW' ELSE 'NORMAL' END AS risk_level "
@@ -247,14 +313,25 @@ CTES: list[tuple[str, str]] = [
     ("states_", f"SELECT *, {_RATES}, total_works >= 10 AND active_members >= 2 AS ranking_qualified FROM (SELECT state_id, {', '.join([*_SHARED, *_STATE])} FROM flagged WHERE state_id IS NOT NULL GROUP BY state_id)"),
     (
         "master",
-        " UNION ALL ".join(f"SELECT '{t}' AS member_type, {s}_id AS member_id, {s}_name AS member_name, tenure FROM (SELECT *, row_number() OVER (PARTITION BY {s}_id ORDER BY loaded_at DESC, {s}_name DESC, house_name DESC, tenure DESC) AS rn FROM {s}s WHERE {s}_id IS NOT NULL) WHERE rn = 1" for t, s in (("MP", "mp"), ("MLA", "mla"))),
+        " UNION ALL ".join(f"SELECT '{t}' AS member_type, {s}_id AS member_id, {s}_name AS member_name, house_name, tenure, constituency_id FROM (SELECT *, row_number() OVER (PARTITION BY {s}_id ORDER BY loaded_at DESC, {s}_name DESC, house_name DESC NULLS LAST, tenure DESC NULLS LAST, constituency_id DESC NULLS LAST) AS rn FROM {s}s WHERE {s}_id IS NOT NULL) WHERE rn = 1" for t, s in (("MP", "mp"), ("MLA", "mla"))),
+    ),
+    ("named", f"SELECT *, {_member('member_name')} AS normalized_name FROM master"),
+    ("taken", "SELECT DISTINCT member_type, normalized_name FROM named SEMI JOIN works USING (member_type, member_id) WHERE normalized_name <> ''"),
+    ("idle", "SELECT named.* FROM named ANTI JOIN (SELECT DISTINCT member_type, member_id FROM works) USING (member_type, member_id) ANTI JOIN taken USING (member_type, normalized_name)"),
+    (
+        "limits",
+        f"SELECT CASE WHEN lower({_strip('house_name')}) = 'state assembly' THEN 'MLA' ELSE 'MP' END AS member_type, mp_name AS member_name, state_name, constituency, house_name, tenure, {_date('tenure_start_date')} AS tenure_start_date, {_date('tenure_end_date')} AS tenure_end_date, "
+        f"{_amount('allocated_amt')} AS allocated_amount, sno, {_member('mp_name')} AS normalized_name FROM allocated_limit WHERE {_strip('mp_name')} <> ''",
+    ),
+    (
+        "context",
+        "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY normalized_name ORDER BY sno, member_type, member_name NULLS FIRST, state_name NULLS FIRST, constituency NULLS FIRST, house_name NULLS FIRST, tenure NULLS FIRST, tenure_start_date NULLS FIRST, tenure_end_date NULLS FIRST, allocated_amount NULLS FIRST) AS rn FROM limits WHERE normalized_name <> '') WHERE rn = 1",
     ),
-    ("idle", "SELECT master.* FROM master ANTI JOIN (SELECT DISTINCT member_type, member_id FROM works) USING (member_type, member_id)"),
-    ("everyone", f"SELECT {', '.join(_ALL_COLUMNS)} FROM members_ UNION ALL SELECT member_type, member_id, false, {', '.join('0' if c in _IDLE else 'NULL' for c in metrics.STATISTICS)} FROM idle"),
+    ("everyone", f"SELECT {', '.join(_ALL_COLUMNS)} FROM members_ UNION ALL SELECT member_type, member_id, false, {', '.join('0' if c in _IDLE else 'NULL' for c in [*_METRICS, *_EXTRA])} FROM idle"),
     *_rank_chain("member", "everyone", "member_type, member_id", "member_type", "ranking_qualified"),
     *_rank_chain("state", "states_", "state_id", "", "total_works IS NOT NULL"),
-    *_z_chain("m", "members_", anomaly.MEMBER_FEATURES, "member_type, member_id", "member_type, feature"),
-    *_z_chain("s", "states_", anomaly.STATE_FEATURES, "state_id", "feature"),
+    *_z_chain("m", "members_", _MEMBER_Z, "member_type, member_id", "member_type, feature", 50, 20),
+    *_z_chain("s", "states_", _STATE_Z, "state_id", "feature", 100, 50),
     ("deliveries", f"SELECT CAST({_whole('work_recommendation_dtl_id')} AS BIGINT) AS work_id, loaded_at, removed_at, letter_no, {_HASHED} AS content_hash FROM works_recommended"),
     (
         "ends",
@@ -281,7 +358,7 @@ def _refs(keys: str, roles: list[tuple], where: str) -> str:
 
 
 def _statistics() -> str:
-    long = " UNION ALL ".join(f"SELECT '{m}' AS metric_name, member_type, CAST({m} AS DOUBLE) AS v FROM members_ WHERE total_works > 0 AND {m} IS NOT NULL" for m in metrics.STATISTICS)
+    long = " UNION ALL ".join(f"SELECT '{m}' AS metric_name, member_type, CAST({m} AS DOUBLE) AS v FROM members_ WHERE total_works > 0 AND {m} IS NOT NULL" for m in _METRICS)
     scoped = f"SELECT metric_name, s AS scope, v FROM (SELECT metric_name, unnest(['BOTH', member_type]) AS s, v FROM ({long})) WHERE s IS NOT NULL"
     quant = ", ".join(f"{_r(f'quantile_cont(v, {q})', 4)} AS {n}" for q, n in ((0.25, "p25"), (0.5, "median"), (0.75, "p75"), (0.9, "p90"), (0.95, "p95")))
     return f"SELECT metric_name, scope, count(*) AS n, {_r('CAST(sum(CAST(v AS DECIMAL(28,4))) AS DOUBLE) / count(v)', 4)} AS mean, {_r('stddev_pop(v)', 4)} AS std_dev, {_r('min(v)', 4)} AS minimum, {quant}, {_r('max(v)', 4)} AS maximum, {_r('quantile_cont(v, 0.75) - quantile_cont(v, 0.25)', 4)} AS iqr FROM ({scoped}) GROUP BY metric_name, scope"
@@ -344,7 +421,7 @@ _MARKS = (
 
 _ALLOCATION = (
     f"SELECT member_type, member_id, CAST(COALESCE(amount, 0) AS DOUBLE) AS allocated_amount, CASE WHEN n = 1 THEN 'HIGH' WHEN n > 1 THEN 'MEDIUM' ELSE 'LOW' END AS allocated_confidence FROM master LEFT JOIN "
-    f"(SELECT k, tenure, count(*) AS n, max(amount) AS amount FROM (SELECT DISTINCT {_alloc('mp_name')} AS k, tenure, {_amount('allocated_amt')} AS amount FROM allocated_limit) WHERE k <> '' AND amount IS NOT NULL GROUP BY k, tenure) b ON b.k = {_alloc('member_name')} AND b.tenure = master.tenure"
+    f"(SELECT k, tenure, h, count(*) AS n, max(amount) AS amount FROM (SELECT DISTINCT {_alloc('mp_name')} AS k, tenure, lower({_strip('''COALESCE(house_name, '')''')}) AS h, {_amount('allocated_amt')} AS amount FROM allocated_limit) WHERE k <> '' AND amount IS NOT NULL GROUP BY k, tenure, h) b ON b.k = {_alloc('member_name')} AND b.tenure = master.tenure AND b.h = lower({_strip('''COALESCE(master.house_name, '')''')})"
 )
 
 ORACLES = {
@@ -364,20 +441,20 @@ ORACLES = {
     "overall_metrics": _sql(_overall()),
     "category_metrics": _sql(_categories()),
     "fy_metrics": _sql(_fiscal()),
-    "zero_work_members": _sql(f"SELECT member_type, member_id, {_member('member_name')} AS normalized_name FROM idle"),
+    "zero_work_members": _sql("SELECT idle.member_type, member_id, idle.normalized_name, c.state_name, c.house_name, c.tenure, c.allocated_amount FROM idle LEFT JOIN context c USING (normalized_name)"),
     "allocation_match": _sql(_ALLOCATION),
     "competition_rank": _sql("SELECT * FROM member_ranks"),
     "state_rank": _sql("SELECT * FROM state_ranks"),
     "peer_rank": _sql(
-        f"SELECT member_type, member_id, state_id, CAST(rk AS INTEGER) AS peer_rank, {_r('CAST((n - rk) * 100 AS DOUBLE) / greatest(n - 1, 1)')} AS peer_percentile FROM (SELECT r.member_type, r.member_id, m.state_id, rank() OVER (PARTITION BY r.member_type, m.state_id ORDER BY performance_score_weighted DESC) AS rk, count(*) OVER (PARTITION BY r.member_type, m.state_id) AS n "
-        "FROM member_ranks r JOIN members_ m ON r.member_type = m.member_type AND r.member_id = m.member_id WHERE m.state_id IS NOT NULL AND performance_score_weighted IS NOT NULL)"
+        f"SELECT member_type, member_id, cluster_id, CAST(rk AS INTEGER) AS peer_rank, {_r('CAST((n - rk) * 100 AS DOUBLE) / greatest(n - 1, 1)')} AS peer_percentile FROM (SELECT *, rank() OVER (PARTITION BY member_type, cluster_id ORDER BY performance_score_weighted DESC) AS rk, count(*) OVER (PARTITION BY member_type, cluster_id) AS n FROM "
+        "(SELECT member_type, member_id, performance_score_weighted, CASE WHEN member_id % 7 <> 0 THEN CAST(member_id % 4 - 1 AS INTEGER) END AS cluster_id FROM member_ranks SEMI JOIN (SELECT member_type, member_id FROM members_ WHERE total_works >= 5) USING (member_type, member_id)) WHERE cluster_id >= 0 AND performance_score_weighted IS NOT NULL)"
     ),
     "risk_percentile_level": _sql(f"SELECT member_type, member_id, {_r('p', 4)} AS risk_percentile, CASE WHEN p >= 0.9 THEN 'CRITICAL' WHEN p >= 0.7 THEN 'HIGH' WHEN p >= 0.4 THEN 'MODERATE' ELSE 'LOW' END AS risk_level FROM (SELECT *, percent_rank() OVER (ORDER BY flagged_rate_pct) AS p FROM members_)"),
     "robust_z": _sql(f"SELECT member_type, member_id, feature, {_r('z', 4)} AS z FROM m_z"),
     "member_anomaly": _sql("SELECT * FROM m_anomaly"),
     "state_anomaly": _sql("SELECT * FROM s_anomaly"),
-    "evidence_work_refs": _sql(_refs("member_type, member_id", evidence.MEMBER_ROLES, "")),
-    "state_work_refs": _sql(_refs("state_id", evidence.STATE_ROLES, " AND state_id IS NOT NULL")),
+    "evidence_work_refs": _sql(_refs("member_type, member_id", _MEMBER_REFS, "")),
+    "state_work_refs": _sql(_refs("state_id", _STATE_REFS, " AND state_id IS NOT NULL")),
     "ai_candidates": f"WITH now_ AS ({_MARKS.format('')}), known AS ({_MARKS.format(''' AND last_calculated < TIMESTAMP '2026-08-20' ''')}) SELECT now_.member_type, now_.member_id FROM now_ LEFT JOIN known USING (member_type, member_id) WHERE known.n IS NULL OR known.n <> now_.n OR known.amount IS DISTINCT FROM now_.amount",
     "backlog_merge": _sql("SELECT member_type, member_id, CASE WHEN ranking_qualified THEN 'fresh' ELSE 'backlog' END AS source FROM members_ WHERE member_type IS NOT NULL AND member_id IS NOT NULL"),
     "snapshot_diff": _sql("SELECT * FROM diff"),
@@ -441,7 +518,8 @@ ORACLES |= {
         + ") USING (member_type, member_id) GROUP BY state_id"
     ),
     "dimension_resolve": f"WITH known AS (SELECT CAST(state_id AS BIGINT) AS state_id, {_UPPER} AS state_name FROM states), fresh AS (SELECT DISTINCT {_UPPER} AS state_name FROM works_recommended WHERE {_UPPER} <> '' AND {_UPPER} NOT IN (SELECT state_name FROM known)) SELECT state_id, state_name FROM known UNION ALL SELECT (SELECT max(state_id) FROM known) + row_number() OVER (ORDER BY state_name), state_name FROM fresh",
-    "stage_verify": "SELECT * FROM (VALUES ('not empty', 'CRITICAL', true), ('as many rows as expected', 'HIGH', true), ('no repeated keys', 'CRITICAL', true)) v(check_name, severity, passed)",
+    # The records' hashes hold their keys, so they are as unique as those.
+    "stage_verify": _sql("SELECT unnest(['not empty', 'as many rows as expected', 'no repeated keys', 'evidence_hash is unique', 'anomalies exist']) AS check_name, unnest(['CRITICAL', 'HIGH', 'CRITICAL', 'HIGH', 'MEDIUM']) AS severity, unnest([n > 0, true, n = k, n = k, odd > 0 OR n <= 5]) AS passed FROM (SELECT count(*) AS n, count(DISTINCT (member_type, member_id)) AS k FROM everyone), (SELECT count(*) AS odd FROM m_anomaly WHERE anomaly_level <> 'NORMAL')"),
 }
 _HELD = ("completion_rate_pct", "expenditure_sanction_utilization_pct", "avg_sanction_delay_days")
 ORACLES |= {

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from worktally.functions import measures
-from worktally.operators import anomaly, audit, delta, evidence, isolation, members, metrics, profiling, ranking, validation, works
+from worktally.operators import anomaly, audit, benchmarks, delta, evidence, isolation, members, metrics, profiling, ranking, validation, works
 from worktally.operators.snapshot_changes import PUBLIC_WORKS, content_hash
-from worktally.plans.works_plan import WorksPlan
+from worktally.plans.works_plan import MEMBER, STATE, WorksPlan
 
 QUERIES: dict = {}
 _BUILDERS: dict = {}
@@ -59,13 +59,13 @@ def work_build(p: WorksPlan) -> DataFrame:
 @_query
 def work_lifecycle(p: WorksPlan) -> DataFrame:
     """Status, durations and shares of every work."""
-    return p.measured.select("work_id", "status", "sanction_delay_days", "project_age_days", "execution_days", "pending_days", "days_since_payment", "expenditure_percentage", "completion_percentage")
+    return p.measured_once.select("work_id", "status", "sanction_delay_days", "project_age_days", "execution_days", "pending_days", "days_since_payment", "expenditure_percentage", "completion_percentage")
 
 
 @_query
 def benchmark_groups(p: WorksPlan) -> DataFrame:
     """Peer groups and their percentiles."""
-    return p.groups
+    return p.groups_once
 
 
 @_query
@@ -77,27 +77,25 @@ def benchmark_select(p: WorksPlan) -> DataFrame:
 @_query
 def delay_distribution(p: WorksPlan) -> DataFrame:
     """Global percentiles of delays and execution times."""
-    from worktally.operators.benchmarks import delay_distribution as f
-
-    return f(p.measured)
+    return benchmarks.delay_distribution(p.measured_once, p.accuracy)
 
 
 @_query
 def risk_flags(p: WorksPlan) -> DataFrame:
     """Flags, level and signals of every work."""
-    return p.flagged.select("work_id", F.array_join("risk_flags", ",").alias("risk_flags"), "flag_count", "risk_level", F.array_join("positive_signals", ",").alias("positive_signals"))
+    return p.flagged_once.select("work_id", F.array_join("risk_flags", ",").alias("risk_flags"), "flag_count", "risk_level", F.array_join("positive_signals", ",").alias("positive_signals"))
 
 
 @_query
 def member_metrics(p: WorksPlan) -> DataFrame:
     """Aggregates by member."""
-    return p.members
+    return p.members_once
 
 
 @_query
 def state_metrics(p: WorksPlan) -> DataFrame:
     """Aggregates by state."""
-    return p.states
+    return p.states_once
 
 
 @_query
@@ -109,13 +107,13 @@ def national_statistics(p: WorksPlan) -> DataFrame:
 @_query
 def trends(p: WorksPlan) -> DataFrame:
     """Aggregates by year and member type."""
-    return metrics.trends(p.flagged)
+    return metrics.trends(p.flagged_once)
 
 
 @_query
 def trends_dedup(p: WorksPlan) -> DataFrame:
     """Two deliveries of the trends, reduced to the last of each year and type."""
-    rows = metrics.trends(p.flagged).select("year", "member_type", "total_works")
+    rows = metrics.trends(p.flagged_once).select("year", "member_type", "total_works")
     twice = rows.withColumn("seq", F.lit(1)).unionByName(rows.withColumns({"seq": F.lit(2), "total_works": F.col("total_works") + 1}))
     return works.latest_rows(twice, ["year", "member_type"], ["seq"]).select("year", "member_type", "total_works")
 
@@ -129,7 +127,7 @@ def overall_metrics(p: WorksPlan) -> DataFrame:
 @_query
 def category_metrics(p: WorksPlan) -> DataFrame:
     """Aggregates by category, national and by state."""
-    return metrics.category_metrics(p.flagged)
+    return metrics.category_metrics(p.flagged_once, p.accuracy)
 
 
 @_query
@@ -141,7 +139,7 @@ def fy_metrics(p: WorksPlan) -> DataFrame:
 @_query
 def zero_work_members(p: WorksPlan) -> DataFrame:
     """Members of the master without works."""
-    return members.zero_work_members(p.master, p.measured)
+    return members.zero_work_members(p.master, p.measured_once, p.population)
 
 
 @_query
@@ -150,27 +148,60 @@ def allocation_match(p: WorksPlan) -> DataFrame:
     return members.match_allocations(p.master, p.table("allocated_limit"))
 
 
-def _member_ranks(p: WorksPlan) -> DataFrame:
-    return ranking.ranked(p.all_members, "member_id", ["member_type"], F.col("ranking_qualified"))
-
-
 @_query
 def competition_rank(p: WorksPlan) -> DataFrame:
     """Scale score, weighted score, rank, class and percentile of every member."""
-    return _member_ranks(p)
+    return p.member_ranks
 
 
 @_query
 def state_rank(p: WorksPlan) -> DataFrame:
     """The same for states."""
-    return ranking.ranked(p.states, "state_id", [], F.col("total_works").isNotNull())
+    return p.state_ranks
+
+
+def _peers(ranks: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Rank and percentile of the weighted score among members of one type and cluster; cluster -1 and null, and null scores, have none."""
+    placed = ranks.join(clusters.select("member_type", "member_id", "cluster_id"), ["member_type", "member_id"]).filter("cluster_id >= 0")
+    return ranking.rank_within(placed, "performance_score_weighted", ["member_type", "cluster_id"]).select("member_type", "member_id", "cluster_id", "peer_rank", "peer_percentile")
+
+
+def _given_clusters(p: WorksPlan) -> DataFrame:
+    """Members' features with clusters that the ids give, so that SQL can follow: -1 to 2, and null for every seventh."""
+    cluster = F.when(F.col("member_id") % 7 != 0, (F.col("member_id") % 4 - 1).cast("int"))
+    return profiling.member_features(p.members).withColumn("cluster_id", cluster)
 
 
 @_query
 def peer_rank(p: WorksPlan) -> DataFrame:
-    """Rank and percentile of the weighted score within members of one type and state."""
-    scored = _member_ranks(p).join(p.members.select("member_type", "member_id", "state_id"), ["member_type", "member_id"]).filter("state_id IS NOT NULL")
-    return ranking.rank_within(scored, "performance_score_weighted", ["member_type", "state_id"]).select("member_type", "member_id", "state_id", "peer_rank", "peer_percentile")
+    """Rank and percentile of the weighted score among members of one type and given cluster."""
+    return _peers(p.member_ranks, _given_clusters(p))
+
+
+@_query
+def peer_rank_profiles(p: WorksPlan) -> DataFrame:
+    """The same in the clusters of the members' profiles."""
+    return _peers(p.member_ranks, build("kmeans_profile", p))
+
+
+@_query
+def member_features(p: WorksPlan) -> DataFrame:
+    """The features of the members' profiles."""
+    rows = profiling.member_features(p.members)
+    return rows.select("member_type", "member_id", *[measures.round_to(F.col(c), 4).alias(c) for c in profiling.MEMBER_PROFILE])
+
+
+@_query
+def state_features(p: WorksPlan) -> DataFrame:
+    """The features of the states' profiles."""
+    rows = profiling.state_features(p.states)
+    return rows.select("state_id", *[measures.round_to(F.col(c), 4).alias(c) for c in profiling.STATE_PROFILE])
+
+
+@_query
+def cluster_labels(p: WorksPlan) -> DataFrame:
+    """The labels of given clusters of members."""
+    return profiling.cluster_labels(_given_clusters(p).filter("cluster_id IS NOT NULL"), ["member_type", "member_id"])
 
 
 @_query
@@ -189,21 +220,20 @@ def robust_z(p: WorksPlan) -> DataFrame:
 
 @_query
 def member_anomaly(p: WorksPlan) -> DataFrame:
-    """Composite anomaly score and level of members."""
-    return anomaly.entity_anomalies(p.members, anomaly.MEMBER_FEATURES, ["member_type", "member_id"], ["member_type"]).select("member_type", "member_id", "anomaly_score", "anomaly_level")
+    """Composite anomaly score, level and confidence of members."""
+    return p.member_anomalies.select("member_type", "member_id", "anomaly_score", "anomaly_level", "confidence_level")
 
 
 @_query
 def state_anomaly(p: WorksPlan) -> DataFrame:
-    """Composite anomaly score and level of states."""
-    return anomaly.entity_anomalies(p.states, anomaly.STATE_FEATURES, ["state_id"], []).select("state_id", "anomaly_score", "anomaly_level")
+    """Composite anomaly score, level and confidence of states."""
+    return p.state_anomalies.select("state_id", "anomaly_score", "anomaly_level", "confidence_level")
 
 
 @_query
 def anomaly_explanations(p: WorksPlan) -> DataFrame:
     """The features that make a member unusual, at most five each."""
-    out = anomaly.entity_anomalies(p.members, anomaly.MEMBER_FEATURES, ["member_type", "member_id"], ["member_type"])
-    return out.select("member_type", "member_id", F.explode("contributing_features").alias("f")).select("member_type", "member_id", "f.*")
+    return p.member_anomalies.select("member_type", "member_id", F.explode("contributing_features").alias("f")).select("member_type", "member_id", "f.*")
 
 
 @_query
@@ -212,48 +242,109 @@ def isolation_forest(p: WorksPlan) -> DataFrame:
     return isolation.isolation_scores(p.benchmarked)
 
 
+def _risk(p: WorksPlan, scores: DataFrame, keys: list[str]) -> DataFrame:
+    entities, found = (p.members, p.member_anomalies) if "member_id" in keys else (p.states, p.state_anomalies)
+    works_of = p.measured if "member_id" in keys else p.measured.filter("state_id IS NOT NULL")
+    return anomaly.entity_risk(entities.select(*keys).join(found, keys, "left"), isolation.isolation_by(works_of, scores, keys, accuracy=p.accuracy), keys)
+
+
+def _given_scores(p: WorksPlan) -> DataFrame:
+    """Isolation scores that the ids give, so that SQL can follow."""
+    return p.measured.select("work_id", (F.pmod(F.col("work_id") * 7919, F.lit(1000)) / 1000.0).alias("isolation_score"))
+
+
 @_query
 def entity_risk(p: WorksPlan) -> DataFrame:
     """Risk of members from isolation and anomaly scores."""
-    scores = isolation.isolation_scores(p.benchmarked)
-    keys = ["member_type", "member_id"]
-    found = anomaly.entity_anomalies(p.members, anomaly.MEMBER_FEATURES, keys, ["member_type"])
-    return anomaly.entity_risk(p.members.select(*keys).join(found, keys, "left"), isolation.isolation_by(p.measured, scores, keys), keys)
+    return _risk(p, isolation.isolation_scores(p.benchmarked), MEMBER)
+
+
+@_query
+def state_risk(p: WorksPlan) -> DataFrame:
+    """Risk of states from isolation and anomaly scores."""
+    return _risk(p, isolation.isolation_scores(p.benchmarked), STATE)
+
+
+@_query
+def entity_risk_given(p: WorksPlan) -> DataFrame:
+    """Risk of members from given isolation scores and their anomaly scores."""
+    return _risk(p, _given_scores(p), MEMBER)
+
+
+@_query
+def state_risk_given(p: WorksPlan) -> DataFrame:
+    """Risk of states from given isolation scores and their anomaly scores."""
+    return _risk(p, _given_scores(p), STATE)
+
+
+@_query
+def isolation_agg_given(p: WorksPlan) -> DataFrame:
+    """The 95th percentile of given isolation scores of each state's works."""
+    out = isolation.isolation_by(p.measured.filter("state_id IS NOT NULL"), _given_scores(p), ["state_id"], accuracy=p.accuracy)
+    return out.select("state_id", measures.round_to(F.col("isolation_95"), 4).alias("isolation_95"), "n")
 
 
 @_query
 def kmeans_profile(p: WorksPlan) -> DataFrame:
     """K-Means cluster and label of members."""
-    rows = profiling.member_features(p.members)
-    return profiling.kmeans_profiles(rows, ["member_type", "member_id"], ["utilization", "completion", "delay", "health", "size"])
+    return profiling.kmeans_profiles(profiling.member_features(p.members), MEMBER, profiling.MEMBER_PROFILE)
+
+
+@_query
+def state_profile(p: WorksPlan) -> DataFrame:
+    """K-Means cluster and label of states."""
+    return profiling.kmeans_profiles(profiling.state_features(p.states), STATE, profiling.STATE_PROFILE, profiling.STATE_CLUSTER)
 
 
 @_query
 def evidence_work_refs(p: WorksPlan) -> DataFrame:
     """The works that stand for each member."""
-    return evidence.work_references(p.flagged, ["member_type", "member_id"])
+    return evidence.work_references(p.flagged_once, ["member_type", "member_id"])
 
 
 @_query
 def state_work_refs(p: WorksPlan) -> DataFrame:
     """The works that stand for each state."""
-    return evidence.work_references(p.flagged.filter("state_id IS NOT NULL"), ["state_id"], evidence.STATE_ROLES)
+    return evidence.work_references(p.flagged_once.filter("state_id IS NOT NULL"), ["state_id"], evidence.STATE_ROLES)
 
 
-def _evidence(p: WorksPlan) -> DataFrame:
-    sections = {
-        "overview": ["total_works", "completed_works", "ongoing_works", "state_id"],
-        "financial": ["recommended_amount", "sanctioned_amount", "expenditure_amount", "expenditure_sanction_utilization_pct"],
-        "timeline": ["avg_sanction_delay_days", "avg_execution_days", "overdue_over_1_year"],
-        "risk": ["flagged_works", "high_risk_works", "flagged_rate_pct"],
-    }
-    return evidence.evidence_records(p.members, ["member_type", "member_id"], sections)
+def _flat(sections: DataFrame, keys: list[str]) -> DataFrame:
+    """Every field of the sections as a column ``section_field``; of the features only how many there are."""
+    out = []
+    for f in sections.schema.fields:
+        if f.name not in keys:
+            for inner in f.dataType.fields:
+                c = F.col(f.name)[inner.name]
+                out.append((F.size(c).cast("int") if inner.name == "contributing_features" else c.cast("double") if inner.name == "allocated_amount" else c).alias(f"{f.name}_{inner.name}"))
+    return sections.select(*keys, *out)
+
+
+def _member_sections(p: WorksPlan) -> DataFrame:
+    return evidence.member_sections(p.all_members, p.states, metrics.national_statistics(p.members), p.member_anomalies, p.idle)
 
 
 @_query
 def member_evidence(p: WorksPlan) -> DataFrame:
-    """Hashed evidence records of members."""
-    return _evidence(p)
+    """The ten sections of each member's evidence, field by field."""
+    return _flat(_member_sections(p), MEMBER)
+
+
+@_query
+def state_evidence(p: WorksPlan) -> DataFrame:
+    """The seven sections of each state's evidence, field by field."""
+    return _flat(evidence.state_sections(p.states, p.state_anomalies), STATE)
+
+
+@_query
+def member_evidence_records(p: WorksPlan) -> DataFrame:
+    """Hashed JSON records of the members' evidence."""
+    return evidence.evidence_records(_member_sections(p), MEMBER)
+
+
+@_query
+def state_evidence_records(p: WorksPlan) -> DataFrame:
+    """Hashed JSON records of the states' evidence."""
+    return evidence.evidence_records(evidence.state_sections(p.states, p.state_anomalies), STATE)
 
 
 @_query
@@ -356,7 +447,7 @@ def affected_works_full(p: WorksPlan) -> DataFrame:
 @_query
 def time_sensitive(p: WorksPlan) -> DataFrame:
     """Works whose measures change with the day."""
-    return delta.time_sensitive(p.measured)
+    return delta.time_sensitive(p.measured_once)
 
 
 @_query
@@ -468,13 +559,14 @@ def dimension_resolve(p: WorksPlan) -> DataFrame:
 def isolation_agg(p: WorksPlan) -> DataFrame:
     """The 95th percentile of the isolation scores of each state's works."""
     scores = isolation.isolation_scores(p.benchmarked)
-    return isolation.isolation_by(p.measured.filter("state_id IS NOT NULL"), scores, ["state_id"])
+    return isolation.isolation_by(p.measured.filter("state_id IS NOT NULL"), scores, ["state_id"], accuracy=p.accuracy)
 
 
 @_query
 def stage_verify(p: WorksPlan) -> DataFrame:
-    """Checks of the members' evidence records against the members."""
-    return audit.verify_stage(_evidence(p), p.members, ["member_type", "member_id"])
+    """Checks of the members' evidence records against the members and their anomalies."""
+    odd = p.member_anomalies.filter("anomaly_level <> 'NORMAL'")
+    return audit.verify_stage(evidence.evidence_records(_member_sections(p), MEMBER), p.all_members, MEMBER, unique="evidence_hash", found=odd)
 
 
 @_query
@@ -489,21 +581,10 @@ def national_context(p: WorksPlan) -> DataFrame:
     return metrics.national_context(metrics.national_statistics(p.members))
 
 
-@_query
-def state_evidence(p: WorksPlan) -> DataFrame:
-    """Hashed evidence records of states."""
-    sections = {
-        "overview": ["total_works", "completed_works", "active_members"],
-        "financial": ["sanctioned_amount", "expenditure_amount", "expenditure_sanction_utilization_pct"],
-        "risk": ["flagged_works", "flagged_rate_pct", "overdue_over_1_year"],
-    }
-    return evidence.evidence_records(p.states, ["state_id"], sections)
-
-
 @_query
 def audit_histograms(p: WorksPlan) -> DataFrame:
     """Works by status, level and quality of benchmark."""
-    return audit.histograms(p.flagged, ["status", "risk_level", "benchmark_quality", "cost_status", "duration_status"])
+    return audit.histograms(p.flagged_once, ["status", "risk_level", "benchmark_quality", "cost_status", "duration_status"])
 
 
 @_query

@@ -23,6 +23,18 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []
 
 
+def listing(spark: SparkSession, path: str) -> list[list]:
+    """[path, size, time of change] of a file, or of the files of a folder and the folders in it."""
+    fs, place = _at(spark, path)
+    if not fs.exists(place):
+        return []
+    found, out = fs.listFiles(place, True), []
+    while found.hasNext():
+        one = found.next()
+        out.append([one.getPath().toString(), one.getLen(), one.getModificationTime()])
+    return out
+
+
 def write_small(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file under another name and move it into place."""
     fs, place = _at(spark, path)

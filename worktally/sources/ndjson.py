@@ -85,10 +85,58 @@ def previous_snapshot(spark: SparkSession, root: str, current: str) -> str | Non
     return done[-1] if done else None
 
 
+def load_all(spark: SparkSession, folder: str, fields: dict[str, list[str]], strict: bool = False) -> dict[str, DataFrame]:
+    """The records of every dataset that ``fields`` lists, by name; one that isn't there has no records."""
+    return {name: scan_ndjson(spark, folder, name, columns, strict) for name, columns in fields.items()}
+
+
+def scan_delta(spark: SparkSession, folder: str, fields: list[str]) -> DataFrame:
+    """(table_name, op, fields): the records of a delta, which lie in ``<folder>/<dataset>/append_part*`` and ``update_part*``."""
+    empty = spark.createDataFrame([], ",".join(f"`{f}` string" for f in ["table_name", "op", *fields]))
+    parts = [f"{folder}/{d}/{n}" for d in files.names(spark, folder) for n in files.names(spark, f"{folder}/{d}") if n.startswith(("append_part", "update_part"))]
+    if not parts:
+        return empty
+    place = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([a-z]+)_part[^/]*$", 1)
+    op = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([a-z]+)_part[^/]*$", 2)
+    lines = spark.read.text(parts).select(place.alias("table_name"), op.alias("op"), F.col("value").alias("line")).filter(F.trim("line") != "")
+    parsed = lines.select("table_name", "op", F.explode(F.array(listed_object(F.col("line"), fields))).alias("listed")).filter(F.coalesce((F.size("listed") == 1) & F.col("listed")[0].isNotNull(), F.lit(False)))
+    return parsed.select("table_name", "op", *[F.col("listed")[0][f].alias(f) for f in fields])
+
+
+def promote(spark: SparkSession, root: str, snapshot: str) -> tuple[str | None, str]:
+    """Make a complete snapshot the current one and the one that was current the previous; gives both names.
+
+    The names are in ``_POINTERS.json`` beside the snapshots, which is replaced as a whole, so a run
+    that fails before leaves them as they were.
+    """
+    if not files.exists(spark, f"{root}/{snapshot}/_COMPLETE.json"):
+        raise BrokenSnapshot(f"{snapshot} isn't complete")
+    before = pointers(spark, root)
+    previous = before["previous"] if before["current"] == snapshot else before["current"]
+    files.write_small(spark, f"{root}/_POINTERS.json", json.dumps({"previous": previous, "current": snapshot}))
+    return previous, snapshot
+
+
+def pointers(spark: SparkSession, root: str) -> dict[str, str | None]:
+    """The names of the previous and the current snapshot."""
+    path = f"{root}/_POINTERS.json"
+    return json.loads(files.read_small(spark, path)) if files.exists(spark, path) else {"previous": None, "current": None}
+
+
+def remove_failed_snapshot(spark: SparkSession, root: str, name: str) -> bool:
+    """Remove a snapshot that wasn't completed; a complete one and those the pointers name stay. Tells whether it was removed."""
+    held = set(pointers(spark, root).values())
+    if name in held or not files.exists(spark, f"{root}/{name}") or files.exists(spark, f"{root}/{name}/_COMPLETE.json"):
+        return False
+    files.remove(spark, f"{root}/{name}")
+    return True
+
+
 def remove_old_snapshots(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Remove all complete snapshots but the newest ``keep``; gives the names removed."""
     done = [n for n in files.names(spark, root) if files.exists(spark, f"{root}/{n}/_COMPLETE.json")]
-    gone = done[: max(0, len(done) - keep)]
+    held = set(pointers(spark, root).values())
+    gone = [n for n in done[: max(0, len(done) - keep)] if n not in held]
     for n in gone:
         files.remove(spark, f"{root}/{n}")
     return gone

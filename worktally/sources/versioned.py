@@ -6,6 +6,7 @@ A reader that has begun keeps its folder, and a write that fails leaves the tabl
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from worktally.operators.delta import delete_keys, upsert
 from worktally.sources import files
@@ -41,6 +42,13 @@ class VersionedTable:
             files.remove(self.spark, f"{self.path}/{old}")
         return name
 
+    def write_unless_empty(self, df: DataFrame, counts: list[str]) -> str | None:
+        """Write a new version unless there are no rows or all ``counts`` are zero or null in each; then nothing is written."""
+        some = F.lit(False)
+        for c in counts:
+            some = some | (F.coalesce(F.col(c), F.lit(0)) != 0)
+        return self.write(df) if df.filter(some).limit(1).count() else None
+
     def upsert(self, batch: DataFrame, keys: list[str], order: list[str]) -> str:
         """Put a batch in; of repeated keys the last by ``order`` wins. An empty batch writes nothing new once there is a version."""
         if self.current is None:
