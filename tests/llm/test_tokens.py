@@ -7,7 +7,7 @@ import pytest
 
 pytest.importorskip("worktally.llm.bpe")
 from worktally.llm.bpe import Encoder, count_tokens, encode_texts, load_ranks
-from worktally.llm.packing import fill_report, pack, pack_block
+from worktally.llm.packing import balance_report, fill_report, pack, pack_block
 from worktally.llm.vocabularies import vocabulary_path
 
 VOCABULARY = vocabulary_path()
@@ -130,3 +130,12 @@ def test_pack_block_balances_cost():
     assert room.max() <= 4096 and 1 - sizes.sum() / (4096 * len(room)) < 0.01
     cost = np.bincount(at, weights=sizes + sizes.astype(float) ** 2 / 2048)
     assert cost.std() / cost.mean() < 0.1
+
+
+def test_costs_of_containers_are_reported(spark):
+    packed = spark.createDataFrame([("a", "a:0", 10), ("a", "a:0", 20), ("a", "a:1", 40), ("a", "a:2", 0), ("b", "b:0", None)], "container_kind string, container_id string, n_tokens bigint")
+    r = balance_report(packed, 1.0, 0.5).collect()
+    costs = [30 + 0.5 * (100 + 400), 40 + 0.5 * 1600]
+    assert [(x.container_kind, x.n_containers) for x in r] == [("a", 2)]
+    assert (r[0].mean_cost, r[0].highest_cost) == (sum(costs) / 2, max(costs)) and abs(r[0].spread - (costs[1] - costs[0]) / sum(costs)) < 1e-9
+    assert balance_report(packed.limit(0)).count() == 0

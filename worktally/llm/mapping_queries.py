@@ -31,10 +31,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(field_name, value, n_rows): the values that mean no canonical entry and how often each was typed."""
+    """(field_name, value, n_works): the values that mean no canonical entry and the works that have each; a work calculated again counts once, one without an id not at all."""
     cases, reference = _cases(spark, sf_dir)
     none = map_values(cases, reference).filter("ref_id = 0").select("kind", "value")
-    return cases.join(none, ["kind", "value"]).groupBy("field_name", "value").agg(F.count("*").alias("n_rows"))
+    once = cases.join(none, ["kind", "value"]).select("field_name", "value", "work_id").distinct()
+    return once.groupBy("field_name", "value").agg(F.count("work_id").alias("n_works"))
 
 
 QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched}

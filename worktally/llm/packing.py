@@ -113,3 +113,13 @@ def fill_report(packed: DataFrame, capacities: DataFrame) -> DataFrame:
     by_kind = by_container.groupBy("container_kind").agg(F.count("*").alias("n_containers"), F.sum("n").alias("n_tokens"))
     sized = by_kind.join(capacities.select("container_kind", "capacity_tokens").distinct(), "container_kind")
     return sized.select("container_kind", "n_containers", "n_tokens", (1 - F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("unused_share"))
+
+
+def balance_report(packed: DataFrame, linear: float = LINEAR, quadratic: float = QUADRATIC) -> DataFrame:
+    """(container_kind, n_containers, mean_cost, highest_cost, spread): how even the containers' costs are; spread is their standard deviation by their mean.
+
+    Only containers that hold some token count. Full pieces of longer documents are containers of their own.
+    """
+    n = F.col("n_tokens").cast("double")
+    by_container = packed.groupBy("container_kind", "container_id").agg(F.sum(F.lit(linear) * n + F.lit(quadratic) * n * n).alias("cost")).filter("cost > 0")
+    return by_container.groupBy("container_kind").agg(F.count("*").alias("n_containers"), F.avg("cost").alias("mean_cost"), F.max("cost").alias("highest_cost"), (F.stddev_pop("cost") / F.avg("cost")).alias("spread"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from worktally.llm.bpe import count_tokens, encode_texts
-from worktally.llm.packing import fill_report, pack
+from worktally.llm.packing import balance_report, fill_report, pack
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,5 +24,10 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_report(p7_pack(spark, sf_dir), spark.read.parquet(f"{sf_dir}/container_sizes.parquet"))
 
 
-QUERIES = {"p6_ids": p6_ids, "p7_pack": p7_pack, "p7_fill": p7_fill}
+def p7_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How even the attention costs of each kind's containers are."""
+    return balance_report(p7_pack(spark, sf_dir))
+
+
+QUERIES = {"p6_ids": p6_ids, "p7_pack": p7_pack, "p7_fill": p7_fill, "p7_balance": p7_balance}
 ORACLES: dict[str, str] = {}
