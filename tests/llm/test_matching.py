@@ -1,11 +1,13 @@
+import math
 import random
 
 import pytest
 
 pytest.importorskip("worktally.llm.canonical")
+from worktally.llm import names
 from worktally.llm.canonical import map_values
 from worktally.llm.components import connected_components
-from worktally.llm.names import full_forms, link_names, parse_name, short_forms, sound, spelling_pairs, spelt
+from worktally.llm.names import full_forms, link_names, parse_name, short_forms, slip_edges, sound, spelling_pairs, spelt
 from worktally.llm.setjoin import similarity_join
 
 
@@ -149,6 +151,72 @@ def test_an_initial_borne_by_two_people_links_neither(spark):
     assert spelling_pairs(link_names(df.limit(0))).count() == 0
 
 
+def _components(edges):
+    """The sets of nodes that ``edges`` join."""
+    of = {}
+    for a, b in edges:
+        both = of.get(a, {a}) | of.get(b, {b})
+        of |= dict.fromkeys(both, both)
+    return {frozenset(x) for x in of.values()}
+
+
+def _slips(units, places):
+    """Every pair of units of two names that the score links, each form held against each other one."""
+    known, blocks, out = {}, {}, set()
+    for unit, canon, state, tokens, raw, told, n_keys in units:
+        words = tokens.split(" ")
+        for token in raw.replace("ch", "C").translate(str.maketrans("cqw", "kkv")).split(" ") if all(len(t) > 1 for t in words) else []:
+            known.setdefault(token, set()).add(canon)
+        for g, f, m in names.readings(words, told):
+            for k, c in ((g, f), (f, g)) if len(words[g]) > 1 and len(words[f]) > 1 else ():
+                for x in names.letters_alike(raw.split(" ")[c]):
+                    for form in {x} | {x[:i] + x[i + 1 :] for i in range(len(x))}:
+                        blocks.setdefault((state, words[k], form), set()).add((unit, canon, x, words[m[0]][0] if m else "", n_keys))
+    heads = {t: len(c) for t, c in known.items() if len(c) > 1}
+    common = names.COMMON_NAMES.split()
+    for (_, kept, form), rows in blocks.items():
+        bearers = len({r[1] for r in rows})
+        for u, canon, x, m, n in rows:
+            for v, other, y, w, k in rows:
+                if canon != other:
+                    long, short = (x, y) if len(x) > len(y) else (y, x)
+                    score = min(len(kept), 5) + len(form) + 4 * bool(places[u] & places[v]) - 4 * (x[0] != y[0]) - 4 * bool(m and w and m != w)
+                    score -= 8 * (len(x) != len(y) and long.startswith(short) and long[-1] in "aeiou") + 2 * (len(x) == len(y) and sorted(x) != sorted(y))
+                    score -= 6 if x in common and y in common else 6 * min(heads[x], heads[y]) / max(heads[x], heads[y]) if x in heads and y in heads else 0
+                    if score - math.log2(max(bearers - 1, 1)) - math.log2(min(n, k)) >= 9:
+                        out.add((min(u, v), max(u, v)))
+    return out
+
+
+def test_slips_join_all_that_the_score_links(spark):
+    """Not only the bearers that the score links to the best attested one."""
+    rng = random.Random(8)
+    units, canons = {}, {}
+    for _ in range(420):
+        given, family = rng.choice(["Kutidhar", "Radhujit", "Somavik", "Ramesh", "Anita"]), rng.choice(["Iravekar", "Wenakud", "Lal"])
+        for _ in range(rng.choice([0, 1, 1, 1])):
+            i = rng.randrange(len(given))
+            given = rng.choice([given[:i] + given[i + 1 :], given[:i] + rng.choice("aeoxy") + given[i + 1 :], given[:i] + rng.choice("aeoxy") + given[i:]])
+        raw, told = f"{given} {rng.choice(['', '', 'k ', 'naru ', 'tapan '])}{family}".lower().split(), rng.random() < 0.5
+        tokens = " ".join(t if len(t) == 1 else sound(t) for t in raw)
+        canon = canons.setdefault(" ".join(sorted(tokens.split())), len(canons))
+        state = rng.choice("st")
+        units.setdefault((tokens, told, state, rng.choice("pq") if " k " in tokens else ""), (len(units), canon, state, tokens, " ".join(raw), told, rng.choice([1, 1, 2, 9, 70])))
+    rows = list(units.values())
+    places = {r[0]: set(rng.sample("pqrsuvw", rng.choice([0, 1, 1, 2]))) for r in rows}
+    df = spark.createDataFrame(rows, "unit bigint, canon bigint, state string, tokens string, raw string, told boolean, n_keys bigint")
+    edges = {tuple(r) for r in slip_edges(df, spark.createDataFrame([(u, p) for u, ps in places.items() for p in ps], "unit bigint, place string")).collect()}
+    want = _slips(rows, places)
+    assert len(want) > 100 and {(min(e), max(e)) for e in edges} <= want
+    assert _components(edges) == _components(want)
+
+
+def test_slips_are_linked_beside_a_better_attested_name_elsewhere(spark):
+    rows = [(f"far:{i}", "Ramya Wenakud", S, "Farplace") for i in range(5)] + [("near:1", "Ramyo Wenakud", S, P), ("near:2", "Ramye Wenakud", S, P)]
+    got = _persons(spark, rows)
+    assert got["near:1"] == got["near:2"] != got["far:0"]
+
+
 APART = [("Ramesh Kumar", "Rajesh Kumar"), ("Sunil Kumar", "Sushil Kumar"), ("Mohan Lal", "Sohan Lal"), ("Kavita Devi", "Savita Devi"), ("Rajesh Yadav", "Rajendra Yadav"), ("Nagendra Singh", "Narendra Singh"), ("Ram Kumar Singh", "Ram Prasad Singh"), ("Santosh Gupta", "Santoshi Gupta"), ("Vinay Joshi", "Vijay Joshi")]
 
 

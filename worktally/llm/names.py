@@ -14,7 +14,8 @@ and equi-joined within a state. What a form proves depends on the rule:
 
 Forms of one spelling are made once: records are grouped to spellings, spellings to persons by full
 forms, and only then are letters left out, for tokens that another person shares. Links are transitive.
-Each form links its bearers to the best attested of them, not to each other; copies cost nothing.
+A full form links its bearers to the least of them, not to each other; a slip's bearers are held against one
+of each name and writing (``_near_slips``). Copies cost nothing.
 
 Defined cases: null and blank names, and names without letters, are left out; without a state a
 name is linked only if its full form occurs in one state alone; one key with several rows is one
@@ -277,44 +278,53 @@ def slip_edges(units: DataFrame, places: DataFrame) -> DataFrame:
     # Letters are left out only of tokens beside which another name has the same other token.
     block = ["state", "kept"]
     shared = split.groupBy(*block).agg(F.min("canon").alias("a"), F.max("canon").alias("z")).filter("a < z").select(*block)
-    letters = F.transform(F.sequence(F.lit(1), F.length("changed")), lambda i: F.concat(F.substring("changed", F.lit(1), i - 1), F.substring("changed", i + 1, F.length("changed"))))
-    forms = F.explode(F.array_distinct(F.concat(F.array("changed"), letters))).alias("form")
-    spread = split.join(shared.hint("merge"), block).repartition(shuffle_width(units.sparkSession), "unit")
-    made = spread.select("unit", "canon", "n_keys", "kept", "changed", "middle", "state", forms).filter("form <> ''").withColumn("h", F.xxhash64("state", "kept", "form")).drop("state")
-    w = Window.partitionBy("h")
-    best = w.orderBy(F.desc("n_keys"), "unit")
-    seen = made.withColumns({"hub": F.first(F.struct("unit", "canon", "changed", "middle", "n_keys")).over(best), "bearers": F.size(F.collect_set("canon").over(w))})
-    near = cut(seen.filter("canon <> hub.canon").select(
-        "unit", F.col("hub.unit").alias("other"), "kept", "changed", F.col("hub.changed").alias("hub_changed"), ((F.col("middle") != F.col("hub.middle")) & (F.col("middle") != "") & (F.col("hub.middle") != "")).alias("middles_differ"), F.length("form").alias("agree"), "bearers", F.least("n_keys", F.col("hub.n_keys")).alias("times")
-    ))
     alike = F.translate(F.replace("raw", F.lit("ch"), F.lit("C")), "cqw", "kkv")
     # A token of several names is a name people bear, not a slip of one.
-    partners = units.filter(~has_initials()).select("canon", F.explode(F.split(alike, " ")).alias("token")).groupBy("token").agg(F.countDistinct("canon").alias("known")).filter("known > 1")
-    known = lambda c: partners.select(F.col("token").alias(c), F.col("known").alias(f"{c}_known"))
-    together = places.withColumnRenamed("unit", "other").join(near.select("unit", "other").distinct(), "other").join(places, ["unit", "place"]).select("unit", "other").distinct().withColumn("same_place", F.lit(True))
-    judged = near.join(together.hint("merge"), ["unit", "other"], "left").join(known("changed").hint("merge"), "changed", "left").join(known("hub_changed").hint("merge"), "hub_changed", "left")
-    first = F.substring("changed", 1, 1) != F.substring("hub_changed", 1, 1)
-    longer, shorter = (F.when((F.length("changed") > F.length("hub_changed")) == flag, F.col("changed")).otherwise(F.col("hub_changed")) for flag in (True, False))
-    ending = (F.length("changed") != F.length("hub_changed")) & longer.startswith(shorter) & F.substring(longer, -1, 1).isin(*"aeiou")
+    known = units.filter(~has_initials()).select("canon", F.explode(F.split(alike, " ")).alias("changed")).groupBy("changed").agg(F.countDistinct("canon").alias("known")).filter("known > 1")
+    letters = F.transform(F.sequence(F.lit(1), F.length("changed")), lambda i: F.concat(F.substring("changed", F.lit(1), i - 1), F.substring("changed", i + 1, F.length("changed"))))
+    forms = F.explode(F.array_distinct(F.concat(F.array("changed"), letters))).alias("form")
+    spread = split.join(shared.hint("merge"), block).join(known.hint("merge"), "changed", "left").repartition(shuffle_width(units.sparkSession), "unit")
+    made = spread.select("unit", "canon", "n_keys", "kept", "changed", "middle", "known", "state", forms).filter("form <> ''").withColumn("h", F.xxhash64("state", "kept", "form"))
+    bearers = F.size(F.collect_set("canon").over(Window.partitionBy("h")))
+    # What a form says of any two of its bearers; if that and a shared constituency don't suffice, no pair does.
+    says = F.least(F.length("kept"), F.lit(KEPT_LETTERS)) + F.length("form") - F.log2(F.greatest(F.col("bearers") - 1, F.lit(1)))
+    seen = cut(made.withColumn("bearers", bearers).filter("bearers > 1").withColumn("says", says).filter(F.col("says") + SAME_PLACE >= SLIP_SCORE).select("h", "unit", "canon", "n_keys", "changed", "middle", "known", "says"))
+    here = _near_slips(seen.join(places.hint("merge"), "unit"), ["h", "place"], SAME_PLACE)
+    return here.unionByName(_near_slips(seen.filter(F.col("says") >= SLIP_SCORE), ["h"], 0)).distinct()
+
+
+def _near_slips(bearers: DataFrame, by: list[str], shared: int) -> DataFrame:
+    """(a, b): units of one group ``by`` that the score links, ``shared`` added to it; as many as join what all such pairs join.
+
+    In a group, all that tells the bearers of one name in one writing from each other is ``n_keys``, and the score falls
+    with the lesser of two. So each bearer is held against the one of the fewest keys of every other name and writing:
+    if any two of two writings are linked, so are these two, and each of the two with that of the other writing.
+    """
+    writing = ["canon", "changed", "middle", "known"]
+    least = bearers.groupBy(*by, *writing).agg(F.min(F.struct("n_keys", "unit")).alias("m"))
+    others = least.select(*by, *[F.col(c).alias(f"other_{c}") for c in writing], F.col("m.unit").alias("other"), F.col("m.n_keys").alias("other_n_keys"))
+    pairs = bearers.join(others.hint("merge"), by).filter("canon <> other_canon")
+    first = F.substring("changed", 1, 1) != F.substring("other_changed", 1, 1)
+    longer, shorter = (F.when((F.length("changed") > F.length("other_changed")) == flag, F.col("changed")).otherwise(F.col("other_changed")) for flag in (True, False))
+    ending = (F.length("changed") != F.length("other_changed")) & longer.startswith(shorter) & F.substring(longer, -1, 1).isin(*"aeiou")
     letters_of = lambda c: F.array_sort(F.split(F.col(c), ""))
-    other = (F.length("changed") == F.length("hub_changed")) & (letters_of("changed") != letters_of("hub_changed"))
+    other = (F.length("changed") == F.length("other_changed")) & (letters_of("changed") != letters_of("other_changed"))
+    middles_differ = (F.col("middle") != F.col("other_middle")) & (F.col("middle") != "") & (F.col("other_middle") != "")
     off = lambda condition, cost: F.when(condition, cost).otherwise(0)
     common = lambda c: F.col(c).isin(*COMMON_NAMES.split())
     # least and greatest pass over nulls, so a token that isn't known is made one.
-    both = [F.when(F.col(a).isNotNull(), F.col(b)) for a, b in (("changed_known", "hub_changed_known"), ("hub_changed_known", "changed_known"))]
+    both = [F.when(F.col(a).isNotNull(), F.col(b)) for a, b in (("known", "other_known"), ("other_known", "known"))]
     score = (
-        F.least(F.length("kept"), F.lit(KEPT_LETTERS))
-        + F.col("agree")
-        + F.when(F.col("same_place"), SAME_PLACE).otherwise(0)
+        F.col("says")
+        + shared
         - off(other, OTHER_LETTER)
         - off(first, FIRST_LETTER)
         - off(ending, END_VOWEL)
-        - off(F.col("middles_differ"), OTHER_MIDDLE)
-        - F.when(common("changed") & common("hub_changed"), BOTH_KNOWN).otherwise(F.coalesce(BOTH_KNOWN * F.least(*both) / F.greatest(*both), F.lit(0)))
-        - F.log2(F.greatest(F.col("bearers") - 1, F.lit(1)))
-        - F.log2(F.col("times"))
+        - off(middles_differ, OTHER_MIDDLE)
+        - F.when(common("changed") & common("other_changed"), BOTH_KNOWN).otherwise(F.coalesce(BOTH_KNOWN * F.least(*both) / F.greatest(*both), F.lit(0)))
+        - F.log2(F.least("n_keys", "other_n_keys"))
     )
-    return judged.filter(score >= SLIP_SCORE).select(F.col("unit").alias("a"), F.col("other").alias("b")).distinct()
+    return pairs.filter(score >= SLIP_SCORE).select(F.least("unit", "other").alias("a"), F.greatest("unit", "other").alias("b"))
 
 
 def short_edges(forms: DataFrame, places: DataFrame) -> DataFrame:
