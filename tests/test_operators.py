@@ -79,6 +79,14 @@ def test_robust_z_vectors(spark):
     assert {r.z for r in got if r.g == "b"} == {0.0} and not [r for r in got if r.g == "c"]
 
 
+def test_isolation_of_entities_without_scores(spark):
+    works = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, None), (5, 2)], "work_id int, state_id int")
+    scores = spark.createDataFrame([(1, 0.2), (2, None), (3, 0.4), (4, 0.7), (5, None)], "work_id int, isolation_score double")
+    got = {r.state_id: (r.isolation_95, r.n) for r in isolation.isolation_by(works, scores, ["state_id"], digits=4).collect()}
+    assert got == {1: (0.39, 3), None: (0.7, 1), 2: (None, 1)}
+    assert isolation.isolation_by(works.limit(0), scores, ["state_id"]).count() == 0
+
+
 def test_isolation_forest_finds_the_outlier_whatever_the_partitions(spark):
     rng = np.random.default_rng(3)
     rows = [(i, *map(float, rng.normal(0, 1, 3))) for i in range(300)] + [(999, 12.0, -12.0, 12.0), (1000, None, None, None)]

@@ -16,6 +16,12 @@ def round_to(x: Column, digits: int = 2) -> Column:
     return F.floor(x * F.lit(float(10**digits)) + F.lit(0.5)) / F.lit(float(10**digits))
 
 
+def interpolated(low: Column, high: Column, share: Column) -> Column:
+    """low * (1 - share) + high * share, product and sum rounded together as in SQL's quantile_cont, so that a half is rounded alike; null if one is null."""
+    fused = F.reflect(F.lit("java.lang.Math"), F.lit("fma"), *[F.coalesce(x, F.lit(0.0)) for x in (low, 1 - share, high * share)])
+    return F.when(low.isNotNull() & high.isNotNull() & share.isNotNull(), fused.cast("double"))
+
+
 def rate(part: Column, whole: Column) -> Column:
     """part / whole in percent with two digits; 0 where whole is 0."""
     return F.when(whole == 0, F.lit(0.0)).otherwise(round_to(part.cast("double") / whole.cast("double") * 100))

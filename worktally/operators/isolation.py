@@ -11,10 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from worktally.functions.measures import grade, round_to
+from worktally.functions.measures import grade, interpolated, round_to
 from worktally.runtime import cut
 
 FEATURES = ("sanction_amount", "recommended_amount", "expenditure_amount", "sanction_delay_days", "execution_days", "project_age_days", "cost_percentile", "duration_percentile")
@@ -107,7 +107,19 @@ def isolation_scores(works: DataFrame, id_col: str = "work_id", features: tuple[
     return raw.select(F.col("id").alias(id_col), scaled.alias("isolation_score")).withColumn("isolation_level", grade(F.col("isolation_score"), LEVELS, "NORMAL"))
 
 
-def isolation_by(works: DataFrame, scores: DataFrame, keys: list[str], id_col: str = "work_id", accuracy: int | None = None) -> DataFrame:
-    """(keys, isolation_95, n): the 95th percentile, with six digits, of the scores of each entity's works."""
-    at = F.percentile_approx("isolation_score", F.lit(0.95), F.lit(accuracy)) if accuracy else F.percentile("isolation_score", F.lit(0.95))
-    return works.select(id_col, *keys).join(scores, id_col).groupBy(*keys).agg(round_to(at, 6).alias("isolation_95"), F.count("*").alias("n"))
+def isolation_by(works: DataFrame, scores: DataFrame, keys: list[str], id_col: str = "work_id", accuracy: int | None = None, digits: int = 6) -> DataFrame:
+    """(keys, isolation_95, n): the 95th percentile, rounded once to ``digits``, of the scores of each entity's works.
+
+    Without ``accuracy`` it is exact, from the number of works at each score, in sorts that can spill.
+    """
+    rows = works.select(id_col, *keys).join(scores, id_col)
+    if accuracy:
+        return rows.groupBy(*keys).agg(round_to(F.percentile_approx("isolation_score", F.lit(0.95), F.lit(accuracy)), digits).alias("isolation_95"), F.count("*").alias("n"))
+    score = F.col("isolation_score")
+    counted = rows.groupBy(*keys, "isolation_score").agg(F.count("*").alias("times"), F.count("isolation_score").alias("scored"))
+    all_of = Window.partitionBy(*keys)
+    upto = F.sum("scored").over(all_of.orderBy(score.asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = counted.withColumns({"upto": upto, "at": (F.sum("scored").over(all_of) - 1) * F.lit(0.95)})
+    first_past = lambda rank: F.min(F.when(F.col("upto") > rank, score))
+    ends = placed.groupBy(*keys).agg(first_past(F.floor("at")).alias("low"), first_past(F.ceil("at")).alias("high"), F.max("at").alias("at"), F.sum("times").alias("n"))
+    return ends.select(*keys, round_to(interpolated(F.col("low"), F.col("high"), F.col("at") - F.floor("at")), digits).alias("isolation_95"), "n")
