@@ -4,7 +4,7 @@ import random
 import pytest
 
 pytest.importorskip("worktally.llm.canonical")
-from worktally.llm import names
+from worktally.llm import components, names
 from worktally.llm.canonical import map_values
 from worktally.llm.components import connected_components
 from worktally.llm.names import full_forms, link_names, parse_name, short_forms, slip_edges, sound, spelling_pairs, spelt
@@ -101,6 +101,43 @@ def test_components_against_union_find(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_in_rounds_are_those_of_one_task(spark, monkeypatch):
+    rng = random.Random(7)
+    edges = [(rng.randint(-90, 90), rng.randint(-90, 90)) for _ in range(70)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5), (None, 3), (2**62, -(2**62))]
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    found = []
+    for most in (components.ONE_TASK_EDGES, 0):
+        monkeypatch.setattr(components, "ONE_TASK_EDGES", most)
+        found.append(sorted(tuple(r) for r in connected_components(df).select("node", "label").collect()))
+    assert found[0] == found[1] and len(found[0]) > 100
+
+
+def test_components_make_their_edges_once(spark):
+    """What makes them may be a long plan."""
+    made = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for pdf in batches:
+            made.add(len(pdf))
+            yield pdf
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(20)], "a bigint, b bigint").mapInPandas(run, "a bigint, b bigint")
+    assert connected_components(edges).filter("label = 0").count() == 21
+    assert made.value == 20
+
+
+def test_linking_takes_few_jobs(spark):
+    """Each job leaves plans, threads and results on the driver."""
+    sc = spark.sparkContext
+    sc.setJobGroup("linking", "")
+    try:
+        assert link_names(spark.createDataFrame(PEOPLE, "key string, name string, state string, place string")).count() == 12
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = len(sc.statusTracker().getJobIdsForGroup("linking"))
+    assert jobs <= 120
+
+
 def test_names_are_parsed():
     assert parse_name("Shri. HALDEKAR, HADHUNISH (2019-24)") == (["hadhunish", "haldekar"], True)
     assert parse_name("Hon'ble Dr. Ram  Nath ji") == (["ram", "nath"], False)

@@ -238,9 +238,9 @@ def _exploded(units: DataFrame, columns: list[str], make, schema: str) -> DataFr
 
 
 def _stars(forms: DataFrame, key: str, node: str) -> DataFrame:
-    """(a, b): each bearer of a form with the least bearer."""
+    """(a, b): each bearer of a form with the least bearer; a pair may come more than once."""
     hubs = forms.groupBy(key).agg(F.min(node).alias("a"), F.max(node).alias("z")).filter("a < z").select(key, "a")
-    return forms.join(hubs.hint("merge"), key).select("a", F.col(node).alias("b")).filter("a <> b").distinct()
+    return forms.join(hubs.hint("merge"), key).select("a", F.col(node).alias("b")).filter("a <> b")
 
 
 def _labelled(rows: DataFrame, node: str, edges: DataFrame) -> DataFrame:
@@ -289,18 +289,22 @@ def slip_edges(units: DataFrame, places: DataFrame) -> DataFrame:
     # What a form says of any two of its bearers; if that and a shared constituency don't suffice, no pair does.
     says = F.least(F.length("kept"), F.lit(KEPT_LETTERS)) + F.length("form") - F.log2(F.greatest(F.col("bearers") - 1, F.lit(1)))
     seen = cut(made.withColumn("bearers", bearers).filter("bearers > 1").withColumn("says", says).filter(F.col("says") + SAME_PLACE >= SLIP_SCORE).select("h", "unit", "canon", "n_keys", "changed", "middle", "known", "says"))
-    here = _near_slips(seen.join(places.hint("merge"), "unit"), ["h", "place"], SAME_PLACE)
-    return here.unionByName(_near_slips(seen.filter(F.col("says") >= SLIP_SCORE), ["h"], 0)).distinct()
+    # The bearers of each constituency and, with no place, of the state; both are held against each other in one join.
+    here = seen.join(places.hint("merge"), "unit")
+    return _near_slips(cut(here.unionByName(seen.filter(F.col("says") >= SLIP_SCORE).withColumn("place", F.lit("")))))
 
 
-def _near_slips(bearers: DataFrame, by: list[str], shared: int) -> DataFrame:
-    """(a, b): units of one group ``by`` that the score links, ``shared`` added to it; as many as join what all such pairs join.
+def _near_slips(bearers: DataFrame) -> DataFrame:
+    """(a, b): units of one form h and place that the score links; as many as join what all such pairs join, a pair more than once.
+
+    Without a place, an empty string, nothing is added to the score for a shared one.
 
     In a group, all that tells the bearers of one name in one writing from each other is ``n_keys``, and the score falls
     with the lesser of two. So each bearer is held against the one of the fewest keys of every other name and writing:
     if any two of two writings are linked, so are these two, and each of the two with that of the other writing.
     """
     writing = ["canon", "changed", "middle", "known"]
+    by = ["h", "place"]
     least = bearers.groupBy(*by, *writing).agg(F.min(F.struct("n_keys", "unit")).alias("m"))
     others = least.select(*by, *[F.col(c).alias(f"other_{c}") for c in writing], F.col("m.unit").alias("other"), F.col("m.n_keys").alias("other_n_keys"))
     pairs = bearers.join(others.hint("merge"), by).filter("canon <> other_canon")
@@ -316,7 +320,7 @@ def _near_slips(bearers: DataFrame, by: list[str], shared: int) -> DataFrame:
     both = [F.when(F.col(a).isNotNull(), F.col(b)) for a, b in (("known", "other_known"), ("other_known", "known"))]
     score = (
         F.col("says")
-        + shared
+        + F.when(F.col("place") != "", SAME_PLACE).otherwise(0)
         - off(other, OTHER_LETTER)
         - off(first, FIRST_LETTER)
         - off(ending, END_VOWEL)
@@ -330,22 +334,21 @@ def _near_slips(bearers: DataFrame, by: list[str], shared: int) -> DataFrame:
 def short_edges(forms: DataFrame, places: DataFrame) -> DataFrame:
     """(a, b): persons of whom one has a short name that, in the constituency or else in the state, only the other's full name gives.
 
-    ``forms`` has unit, person, kind, role, letters and the form's number h.
+    ``forms`` has unit, person, kind, role, letters and the form's number h; it is read more than once.
     """
-    # Full names matter only where somebody has the short form.
-    wanted = forms.filter("role = 'b'").select("h").distinct()
-    wide = forms.filter("role = 'w'").join(wanted, "h", "left_semi")
-    local = lambda df: df.join(places, "unit").withColumn("h", F.xxhash64("h", "place"))
-    one = lambda df: df.groupBy("h").agg(F.min("person").alias("a"), F.max("person").alias("z")).filter("a = z").select("h", "a")
     brief = forms.filter("role = 'b'")
-    here = local(brief).filter(F.col("letters") + SAME_PLACE >= SHORT_SCORE)
-    near = here.join(one(local(wide)).hint("merge"), "h").select("person", "a", F.lit(1).alias("near"))
-    far = brief.filter(F.col("letters") >= SHORT_SCORE).join(one(wide).hint("merge"), "h").select("person", "a", F.lit(0).alias("near"))
-    met = near.unionByName(far).filter("person <> a")
+    # Full names matter only where somebody has the short form.
+    wide = forms.filter("role = 'w'").join(brief.select("h").distinct().hint("merge"), "h", "left_semi")
+    # Both are looked up in the constituency (near) and in the state, in one join.
+    local = lambda df: df.join(places.hint("merge"), "unit").withColumn("h", F.xxhash64("h", "place")).drop("place").withColumn("near", F.lit(1))
+    both = lambda df: local(df).unionByName(df.withColumn("near", F.lit(0)))
+    asked = cut(both(brief.select("unit", "person", "kind", "letters", "h")).filter(F.col("letters") + SAME_PLACE * F.col("near") >= SHORT_SCORE).drop("unit"))
+    full = cut(both(wide.select("unit", "person", "h")).groupBy("near", "h").agg(F.min("person").alias("a"), F.max("person").alias("z")))
+    met = asked.join(full.filter("a = z").hint("merge"), ["near", "h"]).select("person", "a", "near").filter("person <> a")
     # A person met in the constituency comes before one met in the state; two different ones link neither.
     chosen = met.groupBy("person", "near").agg(F.min("a").alias("a"), F.max("a").alias("z")).groupBy("person").agg(F.max(F.struct("near", "a", "z")).alias("m")).filter("m.a = m.z").select(F.col("m.a").alias("a"), F.col("person").alias("b"))
     # Short names of one constituency that no full name there bears are one person.
-    alone = here.filter("kind IN ('I', 'M')").join(local(wide).select("h").distinct(), "h", "left_anti")
+    alone = asked.filter("near = 1 AND kind IN ('I', 'M')").join(full.filter("near = 1").select("h").hint("merge"), "h", "left_anti")
     return chosen.unionByName(_stars(alone, "h", "person"))
 
 
@@ -355,13 +358,14 @@ def link_names(records: DataFrame) -> DataFrame:
     ``records`` has key, name, state and place (both may be null). Records without a usable name
     are left out.
     """
-    named = records.filter(F.regexp_replace("name", r"[^\p{L}]+", "") != "").select("key", "name", place_key(F.col("state")).alias("state"), place_key(F.col("place")).alias("place")).distinct()
+    # Every join below is a merge: what is broadcast passes through the driver.
+    named = cut(records.filter(F.regexp_replace("name", r"[^\p{L}]+", "") != "").select("key", "name", place_key(F.col("state")).alias("state"), place_key(F.col("place")).alias("place")).distinct())
     read = _read(named.select("state", "place", "name").distinct())
     # Initials are no proof beyond the constituency.
     scope = F.when(has_initials() | F.col("state").isNull(), F.coalesce("place", F.lit(""))).otherwise("")
     read = read.withColumn("unit", F.xxhash64(F.coalesce("state", F.lit("")), scope, "tokens", "told"))
     on = [F.col(f"n.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("state", "place")]
-    rows = cut(named.alias("n").join(read.alias("r"), [F.col("n.name") == F.col("r.name"), *on]).select("key", "n.name", "n.state", "n.place", "unit", "tokens", "raw", "told"))
+    rows = cut(named.alias("n").join(read.alias("r").hint("merge"), [F.col("n.name") == F.col("r.name"), *on]).select("key", "n.name", "n.state", "n.place", "unit", "tokens", "raw", "told"))
     by_spelling = rows.groupBy("unit", "state", "tokens", "told", "raw").agg(F.min("place").alias("a_place"), F.countDistinct("key").alias("n"))
     most = F.min_by("raw", F.struct(-F.col("n"), F.length("raw"), F.col("raw"))).alias("raw")
     units = cut(by_spelling.groupBy("unit", "state", "tokens", "told").agg(most, F.min("a_place").alias("a_place"), F.sum("n").alias("n_keys")).withColumn("canon", F.xxhash64(F.array_sort(F.split("tokens", " ")))))
@@ -378,25 +382,24 @@ def link_names(records: DataFrame) -> DataFrame:
     short = cut(short.select("unit", F.substring("form", 1, 1).alias("kind"), "role", "letters", F.xxhash64("state", "form").alias("h"), "canon"))
     middles = short.filter("kind IN ('P', 'G')")
     whole = middles.filter("role = 'w'").groupBy("h").agg(F.min("unit").alias("a"), F.min("canon").alias("c"), F.max("canon").alias("d")).filter("c = d").select("h", "a")
-    middle_edges = middles.filter((F.col("role") == "b") & (F.col("letters") >= SHORT_SCORE)).join(whole, "h").select("a", F.col("unit").alias("b")).filter("a <> b").distinct()
+    middle_edges = middles.filter((F.col("role") == "b") & (F.col("letters") >= SHORT_SCORE)).join(whole.hint("merge"), "h").select("a", F.col("unit").alias("b"))
     # One key is one person, whatever its rows say.
     by_key = _stars(rows.select("unit", F.xxhash64("key").alias("h")), "h", "unit")
     same = _stars(placed.filter("proves"), "h", "unit").unionByName(by_key).unionByName(middle_edges).unionByName(slip_edges(units, places))
     persons = cut(_labelled(units.select("unit", F.col("unit").alias("person")), "person", same))
     # Nicknames come first: an initial links where all full bearers are one person by then.
-    nicks = cut(short_edges(short.filter("kind IN ('N', 'P', 'G')").join(persons, "unit"), places))
+    nicks = cut(short_edges(cut(short.filter("kind IN ('N', 'P', 'G')").join(persons.hint("merge"), "unit")), places))
     hop = nicks.groupBy(F.col("b").alias("person")).agg(F.min("a").alias("a"))
-    by_nick = persons.join(hop, "person", "left").select("unit", F.coalesce("a", "person").alias("person"))
-    weak = nicks.unionByName(short_edges(short.filter("kind IN ('I', 'M')").join(by_nick, "unit"), places))
+    by_nick = persons.join(hop.hint("merge"), "person", "left").select("unit", F.coalesce("a", "person").alias("person"))
+    weak = nicks.unionByName(short_edges(cut(short.filter("kind IN ('I', 'M')").join(by_nick.hint("merge"), "unit")), places))
 
     # Without a state: full forms that occur in one state alone.
     homeless = forms.filter("state IS NULL AND NOT initials").select("unit", "anywhere")
-    homes = placed.filter("NOT initials").join(homeless.select("anywhere").distinct(), "anywhere", "left_semi")
+    homes = placed.filter("NOT initials").join(homeless.select("anywhere").distinct().hint("merge"), "anywhere", "left_semi")
     one_state = homes.groupBy("anywhere").agg(F.min("state").alias("s"), F.max("state").alias("t"), F.min("unit").alias("a")).filter("s = t").select("anywhere", "s", "a")
-    offers = homeless.join(one_state, "anywhere")
-    single = offers.groupBy("unit").agg(F.min("s").alias("s"), F.max("s").alias("t")).filter("s = t").select("unit")
+    offers = homeless.join(one_state.hint("merge"), "anywhere").groupBy("unit").agg(F.min("s").alias("s"), F.max("s").alias("t"), F.collect_set("a").alias("a"))
     of = lambda c: persons.select(F.col("unit").alias(c), F.col("person").alias(f"{c}_person"))
-    lost = offers.join(single, "unit").select("a", "unit").distinct().join(of("a"), "a").join(of("unit"), "unit").select(F.col("a_person").alias("a"), F.col("unit_person").alias("b"))
+    lost = offers.filter("s = t").select(F.explode("a").alias("a"), "unit").join(of("a").hint("merge"), "a").join(of("unit").hint("merge"), "unit").select(F.col("a_person").alias("a"), F.col("unit_person").alias("b"))
 
     merged = _labelled(persons, "person", weak.unionByName(lost))
     return rows.join(merged.hint("merge"), "unit").select("key", "name", "person").distinct()
